@@ -10,7 +10,7 @@ from gridmart.schemas import CALENDAR_END, CALENDAR_START, TYPE_SEED_COLUMNS, TY
 
 
 def dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
-    days = spark.range(1).select(
+    days = spark.range(0, 1, 1, 1).select(
         F.explode(
             F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 day"))
         ).alias("day")
@@ -19,11 +19,18 @@ def dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALEND
 
 
 def dim_time_of_day(spark: SparkSession) -> DataFrame:
-    return spark.range(24).select(*hour_attributes(F.col("id").cast("int")))
+    return spark.range(0, 24, 1, 1).select(*hour_attributes(F.col("id").cast("int")))
 
 
 def type_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(str(i), c, d) for i, c, d in TYPES], list(TYPE_SEED_COLUMNS))
+    """The built-in types in the shape of their seed file."""
+    rows = F.array(
+        *(
+            F.struct(*(F.lit(str(v)).alias(c) for v, c in zip(row, TYPE_SEED_COLUMNS, strict=True)))
+            for row in TYPES
+        )
+    )
+    return spark.range(0, 1, 1, 1).select(F.inline(rows))
 
 
 def dim_type(seed: DataFrame) -> DataFrame:

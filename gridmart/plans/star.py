@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.functions.keys import date_key
-from gridmart.operators.unify import unify
-from gridmart.plans.dimensions import dim_ba, dim_date, dim_time_of_day, dim_type
 from gridmart.schemas import CALENDAR_END, CALENDAR_START, FACT_COLUMNS, FACT_SCHEMA
 
 
@@ -21,10 +19,6 @@ class Dimensions:
     date: DataFrame
     time_of_day: DataFrame
 
-    @staticmethod
-    def from_seeds(spark: SparkSession, authorities: DataFrame, types: DataFrame) -> Dimensions:
-        return Dimensions(dim_ba(authorities), dim_type(types), dim_date(spark), dim_time_of_day(spark))
-
 
 @dataclass(frozen=True)
 class Star:
@@ -64,13 +58,6 @@ def grid_fact(unified: DataFrame, dims: Dimensions) -> DataFrame:
     )
 
 
-def build_star(
-    fuel_type: DataFrame, interchange: DataFrame, region: DataFrame, dims: Dimensions
-) -> Star:
-    """Star over the three staged feeds as one lazy plan."""
-    return Star(grid_fact(unify(fuel_type, interchange, region), dims), dims)
-
-
 def _spread_by_day(fact: DataFrame) -> DataFrame:
     """Rows of a day together, with AQE splitting large days and merging small ones."""
     return fact.hint("rebalance", "date_id")

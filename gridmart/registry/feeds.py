@@ -1,15 +1,17 @@
-"""Raw feeds, seeds and a star derived from the given tables."""
+"""Raw feeds, seeds and a warehouse derived from the given tables."""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.functions.parsing import PERIOD_FORMAT
 from gridmart.plans.dimensions import type_seed
-from gridmart.plans.star import Dimensions, Star, build_star
+from gridmart.plans.warehouse import Warehouse
 from gridmart.schemas import FEEDS, FUEL_TYPE, INTERCHANGE, PAGE_ROWS, REGION, Feed
-from gridmart.sources.staging import stage
+from gridmart.session import new_table_path
 
 # Nations that stand for aggregate codes, so the filter on those has work.
 AGGREGATE_NATIONS = {20: "CAL", 21: "CAR", 22: "CENT", 23: "FLA", 24: "US48"}
@@ -141,15 +143,7 @@ def raw_interchange(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("toba-name", F.concat(F.lit("Authority "), F.col("toba")))
 
 
-RAW = {"region": raw_region, "fuel_type": raw_fuel_type, "interchange": raw_interchange}
-
-
-def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: RAW[name](spark, sf_dir) for name in FEEDS}
-
-
-def staged_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: stage(RAW[name](spark, sf_dir), feed) for name, feed in FEEDS.items()}
+_DERIVED = {"region": raw_region, "fuel_type": raw_fuel_type, "interchange": raw_interchange}
 
 
 def authority_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +171,7 @@ def authority_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
             (key * 2 - 120).cast("string").alias("LONGITUDE"),
         )
     )
-    unknown = spark.range(1).select(
+    unknown = spark.range(0, 1, 1, 1).select(
         F.lit("-1").alias("BA Id"),
         *(F.lit("Unknown").alias(c) for c in known.columns[1:10]),
         F.lit("1900-01-01").alias("Activation Date"),
@@ -188,15 +182,36 @@ def authority_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.unionByName(unknown)
 
 
-def dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
-    return Dimensions.from_seeds(spark, authority_seed(spark, sf_dir), type_seed(spark))
+@functools.cache
+def _raw_root(spark: SparkSession, application: str, sf_dir: str) -> str:
+    root = new_table_path(spark, "raw")
+    for name, derive in _DERIVED.items():
+        derive(spark, sf_dir).write.parquet(f"{root}/{name}")
+    return root
 
 
-def star(spark: SparkSession, sf_dir: str) -> Star:
-    feeds = staged_feeds(spark, sf_dir)
-    return build_star(
-        feeds["fuel_type"], feeds["interchange"], feeds["region"], dimensions(spark, sf_dir)
-    )
+def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The raw feeds, derived from the whole tables once per application and stored."""
+    root = _raw_root(spark, spark.sparkContext.applicationId, sf_dir)
+    return {
+        name: spark.read.schema(feed.raw_schema).parquet(f"{root}/{name}")
+        for name, feed in FEEDS.items()
+    }
+
+
+@functools.cache
+def _warehouse(spark: SparkSession, application: str, sf_dir: str) -> Warehouse:
+    house = Warehouse(spark, new_table_path(spark, "warehouse"))
+    for name, raw in raw_feeds(spark, sf_dir).items():
+        house.append(raw, FEEDS[name])
+    house.load_seeds(authority_seed(spark, sf_dir), type_seed(spark))
+    house.build_fact()
+    return house
+
+
+def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Staged feeds, dimensions and fact, built from the raw feeds once per application."""
+    return _warehouse(spark, spark.sparkContext.applicationId, sf_dir)
 
 
 def _pages(records: DataFrame, feed: Feed, page_key: list[str]) -> DataFrame:

@@ -12,13 +12,14 @@ from pyspark.sql import types as T
 
 from gridmart.operators.cleaning import clean, rejected_rows
 from gridmart.operators.dedup import unseen, with_content_id
-from gridmart.operators.unify import single_authority, unify
+from gridmart.operators.unify import single_authority
 from gridmart.plans import dashboard, dimensions, grid_map, quality
 from gridmart.plans.star import read_fact, write_fact
 from gridmart.registry import feeds as source
 from gridmart.schemas import FEEDS, FUEL_TYPE, INTERCHANGE, REGION, Feed
 from gridmart.session import apply_settings, new_table_path
 from gridmart.sources import landing, pages, seeds, staging
+from gridmart.sources.staging import stage
 from gridmart.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,7 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 FIRST_DAY, LAST_DAY = date(2024, 1, 1), date(2024, 1, 30)
 LAST_RUN = date(2024, 2, 1)
 SPLIT_DAY = date(2024, 1, 16)
-MAP_DAY, MAP_HOUR = date(2024, 1, 15), 13
+MAP_DAY, MAP_HOUR = date(2024, 1, 15), 8
 
 REGISTERED: dict[str, Query] = {}
 
@@ -83,7 +84,7 @@ def page_completeness(spark, sf_dir):
 
 
 def _land_all(spark: SparkSession, sf_dir: str, feed: Feed, root: str) -> None:
-    raw = source.RAW[feed.name](spark, sf_dir)
+    raw = source.raw_feeds(spark, sf_dir)[feed.name]
     landing.land(landing.by_run_day(raw, feed, FIRST_DAY, LAST_RUN), root, feed)
 
 
@@ -137,7 +138,7 @@ def backfill_range(spark, sf_dir):
 @_register
 def existing_ids(spark, sf_dir):
     root = new_table_path(spark, "staged")
-    staging.append_new(spark, source.raw_fuel_type(spark, sf_dir), root, FUEL_TYPE)
+    staging.append_new(spark, source.raw_feeds(spark, sf_dir)["fuel_type"], root, FUEL_TYPE)
     return staging.existing_ids(spark, root, FUEL_TYPE)
 
 
@@ -145,7 +146,7 @@ def existing_ids(spark, sf_dir):
 def first_load(spark, sf_dir):
     """Appending to a table that does not exist yet."""
     root = new_table_path(spark, "staged")
-    staging.append_new(spark, source.raw_region(spark, sf_dir), root, REGION)
+    staging.append_new(spark, source.raw_feeds(spark, sf_dir)["region"], root, REGION)
     return staging.read_staged(spark, root, REGION).drop("day")
 
 
@@ -180,7 +181,7 @@ def seed_types(spark, sf_dir):
     seeds.write_seed(dimensions.type_seed(spark), path)
     return _observed(
         dimensions.dim_type(seeds.read_type_seed(spark, path)),
-        unioned_rows(spark, sf_dir),
+        source.warehouse(spark, sf_dir).unified(),
         "type_code",
     )
 
@@ -188,7 +189,7 @@ def seed_types(spark, sf_dir):
 @_register
 def fact_write_roundtrip(spark, sf_dir):
     path = new_table_path(spark, "fact")
-    write_fact(source.star(spark, sf_dir).fact, path)
+    write_fact(source.warehouse(spark, sf_dir).fact_from_staged(), path)
     return read_fact(spark, path)
 
 
@@ -197,17 +198,17 @@ def fact_write_roundtrip(spark, sf_dir):
 
 @_register
 def clean_region(spark, sf_dir):
-    return clean(source.raw_region(spark, sf_dir), REGION)
+    return clean(source.raw_feeds(spark, sf_dir)["region"], REGION)
 
 
 @_register
 def clean_fuel(spark, sf_dir):
-    return clean(source.raw_fuel_type(spark, sf_dir), FUEL_TYPE)
+    return clean(source.raw_feeds(spark, sf_dir)["fuel_type"], FUEL_TYPE)
 
 
 @_register
 def clean_interchange(spark, sf_dir):
-    return clean(source.raw_interchange(spark, sf_dir), INTERCHANGE)
+    return clean(source.raw_feeds(spark, sf_dir)["interchange"], INTERCHANGE)
 
 
 @_register
@@ -232,28 +233,24 @@ def content_id(spark, sf_dir):
 @_register
 def staged_rows(spark, sf_dir):
     """De-duplicated rows of the feed with the most copies."""
-    return source.staged_feeds(spark, sf_dir)["interchange"]
+    return stage(source.raw_feeds(spark, sf_dir)["interchange"], INTERCHANGE)
 
 
 @_register
 def dedup_anti_join(spark, sf_dir):
     """Rows whose id is not among those of the earlier days."""
-    batch = source.staged_feeds(spark, sf_dir)["region"]
-    stored = source.staged_feeds(spark, sf_dir)["region"].filter(F.col("period") < F.lit(SPLIT_DAY))
+    staged = source.warehouse(spark, sf_dir).staged()["region"]
+    batch = stage(source.raw_feeds(spark, sf_dir)["region"], REGION)
+    stored = staged.filter(F.col("period") < F.lit(SPLIT_DAY))
     return unseen(batch, stored)
 
 
 # Model
 
 
-def unioned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = source.staged_feeds(spark, sf_dir)
-    return unify(staged["fuel_type"], staged["interchange"], staged["region"])
-
-
 @_register
 def unioned(spark, sf_dir):
-    return unioned_rows(spark, sf_dir)
+    return source.warehouse(spark, sf_dir).unified()
 
 
 @_register
@@ -279,7 +276,7 @@ def _observed(dim: DataFrame, rows: DataFrame, key: str) -> DataFrame:
 
 
 def _observed_dim(spark: SparkSession, sf_dir: str, dim: str, key: str) -> DataFrame:
-    star = source.star(spark, sf_dir)
+    star = source.warehouse(spark, sf_dir).star()
     return _observed(getattr(star.dims, dim), star.fact, key)
 
 
@@ -305,7 +302,7 @@ def dim_time_of_day(spark, sf_dir):
 
 @_register
 def fact(spark, sf_dir):
-    return source.star(spark, sf_dir).fact
+    return source.warehouse(spark, sf_dir).fact_from_staged()
 
 
 # Reporting
@@ -313,43 +310,43 @@ def fact(spark, sf_dir):
 
 @_register
 def timeseries(spark, sf_dir):
-    return dashboard.timeseries(source.star(spark, sf_dir), FIRST_DAY, LAST_DAY)
+    return dashboard.timeseries(source.warehouse(spark, sf_dir).star(), FIRST_DAY, LAST_DAY)
 
 
 @_register
 def regional_summary(spark, sf_dir):
-    return dashboard.regional_summary(source.star(spark, sf_dir), FIRST_DAY, LAST_DAY)
+    return dashboard.regional_summary(source.warehouse(spark, sf_dir).star(), FIRST_DAY, LAST_DAY)
 
 
 @_register
 def category_totals(spark, sf_dir):
     return dashboard.category_totals(
-        dashboard.regional_summary(source.star(spark, sf_dir), FIRST_DAY, LAST_DAY)
+        dashboard.regional_summary(source.warehouse(spark, sf_dir).star(), FIRST_DAY, LAST_DAY)
     )
 
 
 @_register
 def generation_mix(spark, sf_dir):
-    return dashboard.generation_mix(source.star(spark, sf_dir), FIRST_DAY, LAST_DAY)
+    return dashboard.generation_mix(source.warehouse(spark, sf_dir).star(), FIRST_DAY, LAST_DAY)
 
 
 @_register
 def grid_topology(spark, sf_dir):
-    return grid_map.grid_topology(source.star(spark, sf_dir), MAP_DAY)
+    return grid_map.grid_topology(source.warehouse(spark, sf_dir).star(), MAP_DAY)
 
 
 @_register
 def grid_skeleton(spark, sf_dir):
-    return grid_map.grid_skeleton(source.star(spark, sf_dir), MAP_DAY)
+    return grid_map.grid_skeleton(source.warehouse(spark, sf_dir).star(), MAP_DAY)
 
 
 @_register
 def hourly_telemetry(spark, sf_dir):
-    return grid_map.hourly_telemetry(source.star(spark, sf_dir), MAP_DAY, MAP_HOUR)
+    return grid_map.hourly_telemetry(source.warehouse(spark, sf_dir).star(), MAP_DAY, MAP_HOUR)
 
 
 def _map_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = source.star(spark, sf_dir)
+    star = source.warehouse(spark, sf_dir).star()
     return grid_map.map_frame(
         grid_map.grid_skeleton(star, MAP_DAY), grid_map.hourly_telemetry(star, MAP_DAY, MAP_HOUR)
     )
@@ -378,7 +375,7 @@ def active_flows(spark, sf_dir):
 
 @_register
 def edge_list(spark, sf_dir):
-    return grid_map.edge_list(grid_map.grid_skeleton(source.star(spark, sf_dir), MAP_DAY))
+    return grid_map.edge_list(grid_map.grid_skeleton(source.warehouse(spark, sf_dir).star(), MAP_DAY))
 
 
 # Data checks
@@ -395,19 +392,19 @@ def _hashed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 @_register
 def dq_not_null(spark, sf_dir):
     return quality.not_null_checks(
-        _hashed(spark, sf_dir), unioned_rows(spark, sf_dir), source.star(spark, sf_dir)
+        _hashed(spark, sf_dir), source.warehouse(spark, sf_dir).unified(), source.warehouse(spark, sf_dir).star()
     )
 
 
 @_register
 def dq_unique(spark, sf_dir):
-    return quality.unique_checks(_hashed(spark, sf_dir), source.star(spark, sf_dir))
+    return quality.unique_checks(_hashed(spark, sf_dir), source.warehouse(spark, sf_dir).star())
 
 
 @_register
 def dq_relationships(spark, sf_dir):
     """References of the fact, and of one whose authorities are the active ones only."""
-    star = source.star(spark, sf_dir)
+    star = source.warehouse(spark, sf_dir).star()
     active = star.dims.ba.filter(F.col("is_active") == "Yes")
     return quality.relationship_checks(star).unionByName(
         quality.relationships(
@@ -421,7 +418,7 @@ def dq_relationships(spark, sf_dir):
 @_register
 def dq_report(spark, sf_dir):
     return quality.report(
-        _hashed(spark, sf_dir), unioned_rows(spark, sf_dir), source.star(spark, sf_dir)
+        _hashed(spark, sf_dir), source.warehouse(spark, sf_dir).unified(), source.warehouse(spark, sf_dir).star()
     )
 
 

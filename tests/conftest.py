@@ -8,7 +8,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_DIR = os.environ.get("GRIDMART_TEST_DIR", "/root/testdata/sf0.001")
+SF_DIR = os.environ.get("GRIDMART_TEST_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
