@@ -6,15 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PERIOD_FORMAT = "yyyy-MM-dd'T'HH"
+PERIOD_FORMAT = "yyyy-MM-dd'T'HH"  # how a period is written
 
 # Digits with a decimal point, optional sign, blanks around.
 _DECIMAL_TEXT = r"^\s*[+-]?(\d+\.\d*|\.\d+)\s*$"
 
 
 def hour_period(text: Column) -> Column:
-    """``2024-01-01T05`` to a timestamp."""
-    return F.try_to_timestamp(text, F.lit(PERIOD_FORMAT))
+    """``2024-01-01T05`` to a timestamp.
+
+    The shape is checked by pattern and the value by the cast, which is about half the
+    work of a formatter; it matters because Catalyst evaluates it once to filter rows
+    and once more to project them.
+    """
+    return F.when(
+        text.rlike(r"^\d{4}-\d\d-\d\dT\d\d$"), F.concat(text, F.lit(":00")).try_cast("timestamp")
+    )
 
 
 def whole_number(text: Column) -> Column:

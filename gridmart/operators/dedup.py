@@ -11,7 +11,18 @@ from gridmart.functions.keys import content_id
 from gridmart.schemas import Feed
 
 
-def distinct_observations(cleaned: DataFrame, feed: Feed) -> DataFrame:
+KEY_HASH = "_key_hash"
+
+
+def with_key_hash(rows: DataFrame, feed: Feed) -> DataFrame:
+    """A hash ahead of the key columns, so that sorts by the key compare one long first.
+
+    Rows are never matched by the hash alone; it always goes with the key itself.
+    """
+    return rows.withColumn(KEY_HASH, F.xxhash64(*feed.key))
+
+
+def distinct_observations(cleaned: DataFrame, feed: Feed, keep_hash: bool = False) -> DataFrame:
     """Keep one row per key.
 
     Copies are merged before the shuffle (partial aggregation), so a heavily repeated
@@ -20,9 +31,14 @@ def distinct_observations(cleaned: DataFrame, feed: Feed) -> DataFrame:
     filters on period and codes pass below the aggregate, and drops the label
     handling altogether when no label is read.
     """
-    labels = F.min(F.struct(*feed.attributes)).alias("_labels")
-    order = [c for c in cleaned.columns]
-    return cleaned.groupBy(*feed.key).agg(labels).select("*", "_labels.*").select(*order)
+    kept = [*cleaned.columns, KEY_HASH] if keep_hash else cleaned.columns
+    return (
+        with_key_hash(cleaned, feed)
+        .groupBy(KEY_HASH, *feed.key)
+        .agg(F.min(F.struct(*feed.attributes)).alias("_labels"))
+        .select("*", "_labels.*")
+        .select(*kept)
+    )
 
 
 def with_content_id(rows: DataFrame, feed: Feed) -> DataFrame:

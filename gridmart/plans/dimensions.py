@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridmart.functions.calendar import date_attributes, hour_attributes
-from gridmart.schemas import CALENDAR_END, CALENDAR_START, TYPE_SEED_COLUMNS, TYPES
+from gridmart.schemas import (
+    AUTHORITY_SEED_COLUMNS,
+    CALENDAR_END,
+    CALENDAR_START,
+    DIM_BA_SCHEMA,
+    DIM_TYPE_SCHEMA,
+    TYPE_SEED_COLUMNS,
+    TYPES,
+)
 
 
 def dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
@@ -33,28 +44,19 @@ def type_seed(spark: SparkSession) -> DataFrame:
     return spark.range(0, 1, 1, 1).select(F.inline(rows))
 
 
-def dim_type(seed: DataFrame) -> DataFrame:
+def _typed(seed: DataFrame, columns: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Seed columns, in order, under the dimension's names and types."""
     return seed.select(
-        F.col("Type ID").cast("int").alias("type_id"),
-        F.col("Type").cast("string").alias("type_code"),
-        F.col("Type Name").cast("string").alias("type_description"),
+        *(
+            F.col(column).cast(field.dataType).alias(field.name)
+            for column, field in zip(columns, schema.fields, strict=True)
+        )
     )
 
 
+def dim_type(seed: DataFrame) -> DataFrame:
+    return _typed(seed, TYPE_SEED_COLUMNS, DIM_TYPE_SCHEMA)
+
+
 def dim_ba(seed: DataFrame) -> DataFrame:
-    return seed.select(
-        F.col("BA Id").cast("int").alias("ba_id"),
-        F.col("BA Code").cast("string").alias("ba_code"),
-        F.col("BA Name").cast("string").alias("ba_name"),
-        F.col("Time Zone").cast("string").alias("time_zone"),
-        F.col("Region_Country Code").cast("string").alias("region_country_code"),
-        F.col("Region_Country Name").cast("string").alias("region_country_name"),
-        F.col("Generation Only BA").cast("string").alias("is_generation_only"),
-        F.col("Demand by BA Subregion").cast("string").alias("has_demand_subregion"),
-        F.col("US_BA").cast("string").alias("is_us_ba"),
-        F.col("Active BA").cast("string").alias("is_active"),
-        F.col("Activation Date").cast("date").alias("activation_date"),
-        F.col("Retirement Date").cast("date").alias("retirement_date"),
-        F.col("LATITUDE").cast("double").alias("latitude"),
-        F.col("LONGITUDE").cast("double").alias("longitude"),
-    )
+    return _typed(seed, AUTHORITY_SEED_COLUMNS, DIM_BA_SCHEMA)

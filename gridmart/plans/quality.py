@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmart.plans.star import Star
-from gridmart.schemas import FEEDS
+from gridmart.schemas import FEEDS, UNIFIED_COLUMNS
 
 REPORT_COLUMNS = ("model", "column_name", "test", "failures")
 
@@ -39,16 +39,21 @@ def not_null(rows: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
 
 
 def unique(rows: DataFrame, model: str, column: str) -> DataFrame:
-    """Counts the values that occur more than once."""
-    repeated = (
-        rows.filter(F.col(column).isNotNull()).groupBy(column).count().filter(F.col("count") > 1)
-    )
-    return repeated.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(model).alias("model"),
-        F.lit(column).alias("column_name"),
-        F.lit("unique").alias("test"),
-        "failures",
-    )
+    """Counts the values that occur more than once; nulls are not values."""
+    return key_checks(rows, model, column, ("unique",))
+
+
+def key_checks(
+    rows: DataFrame, model: str, column: str, tests: Sequence[str] = ("not_null", "unique")
+) -> DataFrame:
+    """Both checks of a key from one grouping of it: nulls are the group of null."""
+    groups = rows.groupBy(F.col(column).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    failures = {
+        "not_null": F.coalesce(F.sum(F.when(F.col("_key").isNull(), F.col("_rows"))), F.lit(0)),
+        "unique": F.count_if(F.col("_key").isNotNull() & (F.col("_rows") > 1)),
+    }
+    counts = groups.agg(*(failures[t].cast("bigint").alias(f"{column}:{t}") for t in tests))
+    return _as_rows(counts, model, [(column, t) for t in tests])
 
 
 def _with_parents(
@@ -104,32 +109,38 @@ def fact_checks(star: Star) -> DataFrame:
     return _as_rows(counts, "fct_grid_operation", tests)
 
 
-def _dimension_keys(star: Star) -> list[tuple[str, DataFrame, str, list[str]]]:
+def _keys(staged: dict[str, DataFrame], star: Star) -> list[tuple[DataFrame, str, str]]:
+    """Tables with a key of their own, as (rows, model, key column)."""
     dims = star.dims
     return [
-        ("dim_ba", dims.ba, "ba_id", ["ba_id", "ba_code"]),
-        ("dim_date", dims.date, "date_id", ["date_id"]),
-        ("dim_time_of_day", dims.time_of_day, "time_id", ["time_id"]),
-        ("dim_type", dims.type, "type_id", ["type_id"]),
+        *((staged[name], name, "id") for name in FEEDS),
+        (dims.ba, "dim_ba", "ba_id"),
+        (dims.date, "dim_date", "date_id"),
+        (dims.time_of_day, "dim_time_of_day", "time_id"),
+        (dims.type, "dim_type", "type_id"),
     ]
 
 
-UNIFIED_REQUIRED = ("period", "ba_code", "type_code", "related_ba", "value")
+def _other_not_null(unified: DataFrame, star: Star) -> list[DataFrame]:
+    """Not-null checks of columns that are neither a key nor in the fact."""
+    return [
+        not_null(unified, "int_grid_data_unioned", UNIFIED_COLUMNS[:-1]),
+        not_null(star.dims.ba, "dim_ba", ["ba_code"]),
+    ]
 
 
 def not_null_checks(staged: dict[str, DataFrame], unified: DataFrame, star: Star) -> DataFrame:
-    parts = [not_null(staged[name], name, ["id"]) for name in FEEDS]
-    parts.append(not_null(unified, "int_grid_data_unioned", UNIFIED_REQUIRED))
-    parts += [not_null(rows, model, columns) for model, rows, _, columns in _dimension_keys(star)]
-    fact_keys = [column for column, _, _ in _fact_parents(star)]
-    parts.append(not_null(star.fact, "fct_grid_operation", fact_keys))
-    return _stacked(parts)
+    return _stacked(
+        [
+            *(not_null(rows, model, [key]) for rows, model, key in _keys(staged, star)),
+            *_other_not_null(unified, star),
+            not_null(star.fact, "fct_grid_operation", [c for c, _, _ in _fact_parents(star)]),
+        ]
+    )
 
 
 def unique_checks(staged: dict[str, DataFrame], star: Star) -> DataFrame:
-    parts = [unique(staged[name], name, "id") for name in FEEDS]
-    parts += [unique(rows, model, key) for model, rows, key, _ in _dimension_keys(star)]
-    return _stacked(parts)
+    return _stacked([unique(rows, model, key) for rows, model, key in _keys(staged, star)])
 
 
 def relationship_checks(star: Star) -> DataFrame:
@@ -137,11 +148,14 @@ def relationship_checks(star: Star) -> DataFrame:
 
 
 def report(staged: dict[str, DataFrame], unified: DataFrame, star: Star) -> DataFrame:
-    """All 30 checks."""
-    parts = [not_null(staged[name], name, ["id"]) for name in FEEDS]
-    parts.append(not_null(unified, "int_grid_data_unioned", UNIFIED_REQUIRED))
-    parts += [not_null(rows, model, columns) for model, rows, _, columns in _dimension_keys(star)]
-    return _stacked([*parts, fact_checks(star), unique_checks(staged, star)])
+    """All 30 checks, each table grouped or scanned once."""
+    return _stacked(
+        [
+            *(key_checks(rows, model, key) for rows, model, key in _keys(staged, star)),
+            *_other_not_null(unified, star),
+            fact_checks(star),
+        ]
+    )
 
 
 def _stacked(parts: Sequence[DataFrame]) -> DataFrame:

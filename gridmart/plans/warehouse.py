@@ -16,7 +16,7 @@ from gridmart.operators.unify import unify
 from gridmart.plans import quality
 from gridmart.plans.dimensions import dim_ba, dim_date, dim_time_of_day, dim_type
 from gridmart.plans.star import Dimensions, Star, grid_fact, read_fact, refresh_fact, write_fact
-from gridmart.schemas import FEEDS, Feed
+from gridmart.schemas import DIM_BA_SCHEMA, DIM_TYPE_SCHEMA, FEEDS, Feed
 from gridmart.sources.staging import append_new, read_staged
 
 
@@ -56,10 +56,10 @@ class Warehouse:
         dim_type(types).write.mode("overwrite").parquet(self._path("dim_type"))
 
     def dimensions(self) -> Dimensions:
-        read = self.spark.read.parquet
+        read = self.spark.read
         return Dimensions(
-            read(self._path("dim_ba")),
-            read(self._path("dim_type")),
+            read.schema(DIM_BA_SCHEMA).parquet(self._path("dim_ba")),
+            read.schema(DIM_TYPE_SCHEMA).parquet(self._path("dim_type")),
             dim_date(self.spark),
             dim_time_of_day(self.spark),
         )

@@ -7,7 +7,6 @@ import functools
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.functions.parsing import PERIOD_FORMAT
 from gridmart.plans.dimensions import type_seed
 from gridmart.plans.warehouse import Warehouse
 from gridmart.schemas import FEEDS, FUEL_TYPE, INTERCHANGE, PAGE_ROWS, REGION, Feed
@@ -41,7 +40,7 @@ FUEL_CODES = (
 EVENT_SERIES = {"view": "D", "error": "D", "click": "DF", "signup": "NG", "purchase": "TI"}
 
 UNITS = "megawatthours"
-FIRST_HOUR = "2024-01-01 00:00:00"
+FIRST_DAY = "2024-01-01"
 HOURS = 720  # both order keys are spread over 30 days
 
 
@@ -69,10 +68,13 @@ def _raw(feed: Feed, period: Column, code: Column, series: Column, value: Column
     ]
 
 
+def _period(day: Column, hour: Column) -> Column:
+    return F.concat(day.cast("string"), F.lit("T"), F.lpad(hour.cast("string"), 2, "0"))
+
+
 def _spread_hour(key: Column) -> Column:
-    start = F.lit(FIRST_HOUR).cast("timestamp_ntz")
-    moment = start + F.make_dt_interval(F.lit(0), (key % HOURS).cast("int"))
-    return F.date_format(moment, PERIOD_FORMAT)
+    hour = (key % HOURS).cast("int")
+    return _period(F.date_add(F.lit(FIRST_DAY).cast("date"), (hour / 24).cast("int")), hour % 24)
 
 
 def _events_with_record(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +89,7 @@ def _events_with_record(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             "event_id",
             "event_type",
-            *_raw(REGION, F.date_format("ts", PERIOD_FORMAT), F.col("_code"), series, value),
+            *_raw(REGION, _period(F.to_date("ts"), F.hour("ts")), F.col("_code"), series, value),
         )
     )
 

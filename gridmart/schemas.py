@@ -89,6 +89,33 @@ FACT_SCHEMA = T.StructType(
     ]
 )
 
+DIM_BA_SCHEMA = T.StructType(
+    [
+        T.StructField("ba_id", T.IntegerType()),
+        T.StructField("ba_code", T.StringType()),
+        T.StructField("ba_name", T.StringType()),
+        T.StructField("time_zone", T.StringType()),
+        T.StructField("region_country_code", T.StringType()),
+        T.StructField("region_country_name", T.StringType()),
+        T.StructField("is_generation_only", T.StringType()),
+        T.StructField("has_demand_subregion", T.StringType()),
+        T.StructField("is_us_ba", T.StringType()),
+        T.StructField("is_active", T.StringType()),
+        T.StructField("activation_date", T.DateType()),
+        T.StructField("retirement_date", T.DateType()),
+        T.StructField("latitude", T.DoubleType()),
+        T.StructField("longitude", T.DoubleType()),
+    ]
+)
+
+DIM_TYPE_SCHEMA = T.StructType(
+    [
+        T.StructField("type_id", T.IntegerType()),
+        T.StructField("type_code", T.StringType()),
+        T.StructField("type_description", T.StringType()),
+    ]
+)
+
 FACT_COLUMNS = (
     "date_id",
     "time_id",

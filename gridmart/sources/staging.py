@@ -7,7 +7,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.operators.cleaning import clean
-from gridmart.operators.dedup import distinct_observations, unseen, with_content_id
+from gridmart.operators.dedup import (
+    KEY_HASH,
+    distinct_observations,
+    unseen,
+    with_content_id,
+    with_key_hash,
+)
 from gridmart.schemas import Feed
 
 
@@ -48,7 +54,7 @@ def new_rows(raw: DataFrame, stored: DataFrame | None, feed: Feed) -> DataFrame:
     prune the stored partitions to these, whatever the table has grown to.
     """
     cleaned = clean(raw, feed)
-    batch = distinct_observations(cleaned, feed)
+    batch = distinct_observations(cleaned, feed, keep_hash=True)
     if stored is not None:
         days = cleaned.select(F.to_date("period").alias("day"))
         near = stored.filter(
@@ -56,7 +62,7 @@ def new_rows(raw: DataFrame, stored: DataFrame | None, feed: Feed) -> DataFrame:
                 days.agg(F.min("day")).scalar(), days.agg(F.max("day")).scalar()
             )
         )
-        batch = unseen(batch, near, feed.key)
+        batch = unseen(batch, with_key_hash(near, feed), (KEY_HASH, *feed.key))
     return with_content_id(batch, feed).withColumn("day", F.to_date("period"))
 
 
