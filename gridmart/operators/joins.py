@@ -30,6 +30,10 @@ def keep_all_small(
         ),
     )
     matched = renamed.join(small, on, "inner").select(*small.columns, *added)
-    present = renamed.select(*(f"_{k}" for k in keys)).distinct()
+    present = (
+        renamed.groupBy(*(f"_{k}" for k in keys))
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .select(*(f"_{k}" for k in keys))
+    )
     alone = small.join(present, on, "left_anti")
     return matched.unionByName(alone, allowMissingColumns=True)

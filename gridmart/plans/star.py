@@ -58,9 +58,13 @@ def grid_fact(unified: DataFrame, dims: Dimensions) -> DataFrame:
     )
 
 
-def _spread_by_day(fact: DataFrame) -> DataFrame:
-    """Rows of a day together, with AQE splitting large days and merging small ones."""
-    return fact.hint("rebalance", "date_id")
+def _laid_out(fact: DataFrame) -> DataFrame:
+    """Rows of a day together and in hour order.
+
+    AQE splits days that are too large and merges small ones. The writer sorts by the
+    day anyway; adding the hour lets a query for one hour skip row groups.
+    """
+    return fact.hint("rebalance", "date_id").sortWithinPartitions("date_id", "time_id")
 
 
 def write_fact(fact: DataFrame, path: str) -> None:
@@ -68,7 +72,7 @@ def write_fact(fact: DataFrame, path: str) -> None:
 
     All reporting queries filter on the day key, so that is the partition column.
     """
-    _spread_by_day(fact).write.mode("overwrite").partitionBy("date_id").parquet(path)
+    _laid_out(fact).write.mode("overwrite").partitionBy("date_id").parquet(path)
 
 
 def refresh_fact(fact: DataFrame, path: str, first: date, last: date) -> None:
@@ -78,7 +82,7 @@ def refresh_fact(fact: DataFrame, path: str, first: date, last: date) -> None:
         raise ValueError(f"days must lie within {CALENDAR_START}..{CALENDAR_END}")
     days = fact.filter(F.col("date_id").between(*day_keys(first, last)))
     (
-        _spread_by_day(days)
+        _laid_out(days)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date_id")

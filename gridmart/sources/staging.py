@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.operators.cleaning import clean
@@ -66,19 +66,16 @@ def new_rows(raw: DataFrame, stored: DataFrame | None, feed: Feed) -> DataFrame:
     return with_content_id(batch, feed).withColumn("day", F.to_date("period"))
 
 
-def append_new(
-    spark: SparkSession, raw: DataFrame, root: str, feed: Feed, appended: Observation | None = None
-) -> None:
+def append_new(spark: SparkSession, raw: DataFrame, root: str, feed: Feed) -> None:
     """Append the rows not stored yet; running a batch again appends nothing.
 
     That also makes a retried or half-finished run safe to repeat. Two runs on one table
     must not overlap in time: neither would see the other's rows.
     """
     rows = new_rows(raw, read_staged_if_any(spark, root, feed), feed)
-    if appended is not None:
-        rows = rows.observe(appended, F.count(F.lit(1)).alias("appended"))
     (
         rows.hint("rebalance", "day")
+        .sortWithinPartitions("day", "period")
         .write.mode("append")
         .partitionBy("day")
         .parquet(staged_path(root, feed))
