@@ -74,7 +74,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         house.append(read_landed(spark, args.landing, feed, first, last), feed)
     elif args.step == "stream":
         stream = landed_stream(spark, args.landing, feed)
-        start_append(stream, house.staged_root, feed, args.checkpoint).awaitTermination()
+        start_append(stream, house.staged_table(feed), feed, args.checkpoint).awaitTermination()
     elif args.step == "seed":
         types = read_type_seed(spark, args.types) if args.types else type_seed(spark)
         house.load_seeds(read_authority_seed(spark, args.authorities), types)

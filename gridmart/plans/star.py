@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmart.functions.keys import date_key
 from gridmart.schemas import CALENDAR_END, CALENDAR_START, FACT_COLUMNS, FACT_SCHEMA
+from gridmart.sources.tables import Table
 
 
 @dataclass(frozen=True)
@@ -67,31 +68,23 @@ def _laid_out(fact: DataFrame) -> DataFrame:
     return fact.hint("rebalance", "date_id").sortWithinPartitions("date_id", "time_id")
 
 
-def write_fact(fact: DataFrame, path: str) -> None:
-    """Rebuild the stored fact, one partition per ``date_id``.
+def fact_table(target: str) -> Table:
+    """All reporting queries filter on the day key, so that is the partition column."""
+    return Table(target, FACT_SCHEMA, "date_id")
 
-    All reporting queries filter on the day key, so that is the partition column.
-    """
-    _laid_out(fact).write.mode("overwrite").partitionBy("date_id").parquet(path)
+
+def write_fact(fact: DataFrame, table: Table) -> None:
+    """Rebuild the stored fact."""
+    table.replace(_laid_out(fact))
 
 
-def refresh_fact(fact: DataFrame, path: str, first: date, last: date) -> None:
+def refresh_fact(fact: DataFrame, table: Table, first: date, last: date) -> None:
     """Replace the stored days ``first..last`` and leave all others alone."""
     if first < date.fromisoformat(CALENDAR_START) or last > date.fromisoformat(CALENDAR_END):
         # Days off the calendar share one null partition, which a few days must not replace.
         raise ValueError(f"days must lie within {CALENDAR_START}..{CALENDAR_END}")
     days = fact.filter(F.col("date_id").between(*day_keys(first, last)))
-    (
-        _laid_out(days)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date_id")
-        .parquet(path)
-    )
-
-
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(FACT_SCHEMA).parquet(path).select(*FACT_COLUMNS)
+    table.replace_partitions(_laid_out(days))
 
 
 def day_keys(first: date, last: date) -> tuple[int, int]:

@@ -1,7 +1,7 @@
-"""The stored tables under one root, and the steps that fill them.
+"""The stored tables of one warehouse, and the steps that fill them.
 
-``staged/<feed>`` grows by appends, ``dim_ba`` and ``dim_type`` come from seeds, and
-``fct_grid_operation`` is rebuilt or refreshed by day from the staged tables.
+The staged feeds grow by appends, ``dim_ba`` and ``dim_type`` come from seeds, and
+``fct_grid_operation`` is rebuilt or refreshed by day from the staged feeds.
 """
 
 from __future__ import annotations
@@ -15,31 +15,45 @@ from pyspark.sql import functions as F
 from gridmart.operators.unify import unify
 from gridmart.plans import quality
 from gridmart.plans.dimensions import dim_ba, dim_date, dim_time_of_day, dim_type
-from gridmart.plans.star import Dimensions, Star, grid_fact, read_fact, refresh_fact, write_fact
-from gridmart.schemas import DIM_BA_SCHEMA, DIM_TYPE_SCHEMA, FEEDS, Feed
-from gridmart.sources.staging import append_new, read_staged
+from gridmart.plans.star import Dimensions, Star, fact_table, grid_fact, refresh_fact, write_fact
+from gridmart.schemas import DIM_BA_SCHEMA, DIM_TYPE_SCHEMA, FACT_COLUMNS, FEEDS, Feed
+from gridmart.sources.staging import append_new, staged_table
+from gridmart.sources.tables import Table
 
 
 @dataclass(frozen=True)
 class Warehouse:
+    """Tables in a folder (``root`` with a slash) or in a database of the catalog."""
+
     spark: SparkSession
     root: str
 
+    def _target(self, name: str) -> str:
+        return f"{self.root}/{name}" if "/" in self.root else f"{self.root}.{name}"
+
+    def staged_table(self, feed: Feed) -> Table:
+        return staged_table(self._target(feed.name), feed)
+
     @property
-    def staged_root(self) -> str:
-        return f"{self.root}/staged"
+    def fact_table(self) -> Table:
+        return fact_table(self._target("fct_grid_operation"))
 
-    def _path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+    @property
+    def _ba_table(self) -> Table:
+        return Table(self._target("dim_ba"), DIM_BA_SCHEMA)
+
+    @property
+    def _type_table(self) -> Table:
+        return Table(self._target("dim_type"), DIM_TYPE_SCHEMA)
 
     def append(self, raw: DataFrame, feed: Feed) -> None:
-        append_new(self.spark, raw, self.staged_root, feed)
+        append_new(self.spark, raw, self.staged_table(feed), feed)
 
     def staged(self, first: date | None = None, last: date | None = None) -> dict[str, DataFrame]:
         """Staged feeds; bounds prune their day partitions."""
         tables = {}
         for name, feed in FEEDS.items():
-            rows = read_staged(self.spark, self.staged_root, feed)
+            rows = self.staged_table(feed).read(self.spark)
             if first is not None:
                 rows = rows.filter(F.col("day") >= F.lit(first))
             if last is not None:
@@ -52,14 +66,13 @@ class Warehouse:
         return unify(staged["fuel_type"], staged["interchange"], staged["region"])
 
     def load_seeds(self, authorities: DataFrame, types: DataFrame) -> None:
-        dim_ba(authorities).write.mode("overwrite").parquet(self._path("dim_ba"))
-        dim_type(types).write.mode("overwrite").parquet(self._path("dim_type"))
+        self._ba_table.replace(dim_ba(authorities))
+        self._type_table.replace(dim_type(types))
 
     def dimensions(self) -> Dimensions:
-        read = self.spark.read
         return Dimensions(
-            read.schema(DIM_BA_SCHEMA).parquet(self._path("dim_ba")),
-            read.schema(DIM_TYPE_SCHEMA).parquet(self._path("dim_type")),
+            self._ba_table.read(self.spark),
+            self._type_table.read(self.spark),
             dim_date(self.spark),
             dim_time_of_day(self.spark),
         )
@@ -68,16 +81,14 @@ class Warehouse:
         return grid_fact(self.unified(first, last), self.dimensions())
 
     def build_fact(self) -> None:
-        write_fact(self.fact_from_staged(), self._path("fct_grid_operation"))
+        write_fact(self.fact_from_staged(), self.fact_table)
 
     def refresh_fact(self, first: date, last: date) -> None:
         """Rebuild only the days ``first..last``; reads only those staged days."""
-        refresh_fact(
-            self.fact_from_staged(first, last), self._path("fct_grid_operation"), first, last
-        )
+        refresh_fact(self.fact_from_staged(first, last), self.fact_table, first, last)
 
     def star(self) -> Star:
-        return Star(read_fact(self.spark, self._path("fct_grid_operation")), self.dimensions())
+        return Star(self.fact_table.read(self.spark).select(*FACT_COLUMNS), self.dimensions())
 
     def check(self) -> DataFrame:
         """All data checks, one row each."""

@@ -14,12 +14,13 @@ from gridmart.operators.cleaning import clean, rejected_rows
 from gridmart.operators.dedup import unseen, with_content_id
 from gridmart.operators.unify import single_authority
 from gridmart.plans import dashboard, dimensions, grid_map, quality
-from gridmart.plans.star import read_fact, write_fact
+from gridmart.plans.star import fact_table, write_fact
 from gridmart.registry import feeds as source
 from gridmart.schemas import FEEDS, FUEL_TYPE, INTERCHANGE, REGION, Feed
 from gridmart.session import apply_settings, new_table_path
 from gridmart.sources import landing, pages, seeds, staging
 from gridmart.sources.staging import stage
+from gridmart.sources.tables import Table
 from gridmart.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +59,10 @@ def _stack(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _empty_table(spark: SparkSession, feed: Feed) -> Table:
+    return staging.staged_table(new_table_path(spark, "staged"), feed)
+
+
 # Pages, landing and staging
 
 
@@ -129,41 +134,37 @@ def lookback_window(spark, sf_dir):
 @_register
 def backfill_range(spark, sf_dir):
     """All runs of the feed with the longest lookback, landed and staged in one go."""
-    root, staged = new_table_path(spark, "landing"), new_table_path(spark, "staged")
+    root = new_table_path(spark, "landing")
     _land_all(spark, sf_dir, INTERCHANGE, root)
-    staging.append_new(spark, landing.read_landed(spark, root, INTERCHANGE), staged, INTERCHANGE)
-    return staging.read_staged(spark, staged, INTERCHANGE).drop("day")
+    table = _empty_table(spark, INTERCHANGE)
+    staging.append_new(spark, landing.read_landed(spark, root, INTERCHANGE), table, INTERCHANGE)
+    return table.read(spark).drop("day")
 
 
 @_register
 def existing_ids(spark, sf_dir):
-    root = new_table_path(spark, "staged")
-    staging.append_new(spark, source.raw_feeds(spark, sf_dir)["fuel_type"], root, FUEL_TYPE)
-    return staging.existing_ids(spark, root, FUEL_TYPE)
+    table = _empty_table(spark, FUEL_TYPE)
+    staging.append_new(spark, source.raw_feeds(spark, sf_dir)["fuel_type"], table, FUEL_TYPE)
+    return staging.existing_ids(spark, table)
 
 
 @_register
 def first_load(spark, sf_dir):
     """Appending to a table that does not exist yet."""
-    root = new_table_path(spark, "staged")
-    staging.append_new(spark, source.raw_feeds(spark, sf_dir)["region"], root, REGION)
-    return staging.read_staged(spark, root, REGION).drop("day")
+    table = _empty_table(spark, REGION)
+    staging.append_new(spark, source.raw_feeds(spark, sf_dir)["region"], table, REGION)
+    return table.read(spark).drop("day")
 
 
 @_register
 def append_incremental(spark, sf_dir):
     """The first half of the days, then all of them: each observation is stored once."""
-    root = new_table_path(spark, "staged")
     stored = []
     for name, raw in source.raw_feeds(spark, sf_dir).items():
-        feed = FEEDS[name]
-        staging.append_new(spark, raw.filter(F.col("period") < f"{SPLIT_DAY}"), root, feed)
-        staging.append_new(spark, raw, root, feed)
-        stored.append(
-            staging.read_staged(spark, root, feed).select(
-                F.lit(name).alias("feed"), "id", "period", "value"
-            )
-        )
+        table = _empty_table(spark, FEEDS[name])
+        staging.append_new(spark, raw.filter(F.col("period") < f"{SPLIT_DAY}"), table, FEEDS[name])
+        staging.append_new(spark, raw, table, FEEDS[name])
+        stored.append(table.read(spark).select(F.lit(name).alias("feed"), "id", "period", "value"))
     return _stack(stored)
 
 
@@ -188,9 +189,9 @@ def seed_types(spark, sf_dir):
 
 @_register
 def fact_write_roundtrip(spark, sf_dir):
-    path = new_table_path(spark, "fact")
-    write_fact(source.warehouse(spark, sf_dir).fact_from_staged(), path)
-    return read_fact(spark, path)
+    table = fact_table(new_table_path(spark, "fact"))
+    write_fact(source.warehouse(spark, sf_dir).fact_from_staged(), table)
+    return table.read(spark)
 
 
 # Cleaning, ids and de-duplication
@@ -428,15 +429,16 @@ def dq_report(spark, sf_dir):
 @_register
 def stream_append(spark, sf_dir):
     """Overlapping runs, appended as a stream: each observation is stored once."""
-    root, staged = new_table_path(spark, "landing"), new_table_path(spark, "staged")
+    root = new_table_path(spark, "landing")
     _land_all(spark, sf_dir, FUEL_TYPE, root)
+    table = _empty_table(spark, FUEL_TYPE)
     ingest.start_append(
         ingest.landed_stream(spark, root, FUEL_TYPE, max_files_per_trigger=16),
-        staged,
+        table,
         FUEL_TYPE,
         new_table_path(spark, "progress"),
     ).awaitTermination()
-    return staging.read_staged(spark, staged, FUEL_TYPE).drop("day")
+    return table.read(spark).drop("day")
 
 
 @_register

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmart.functions.parsing import hour_period
 from gridmart.operators.cleaning import clean
 from gridmart.operators.dedup import (
     KEY_HASH,
@@ -15,29 +15,15 @@ from gridmart.operators.dedup import (
     with_key_hash,
 )
 from gridmart.schemas import Feed
+from gridmart.sources.tables import Table
 
 
-def staged_path(root: str, feed: Feed) -> str:
-    return f"{root}/{feed.name}"
+def staged_table(target: str, feed: Feed) -> Table:
+    return Table(target, feed.staged_schema, "day")
 
 
-def read_staged(spark: SparkSession, root: str, feed: Feed) -> DataFrame:
-    """Stored rows, ``day`` included so that readers can prune by it."""
-    return spark.read.schema(feed.staged_schema).parquet(staged_path(root, feed))
-
-
-def read_staged_if_any(spark: SparkSession, root: str, feed: Feed) -> DataFrame | None:
-    """Stored rows, or None where the table does not exist yet; other errors are raised."""
-    try:
-        return read_staged(spark, root, feed)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-def existing_ids(spark: SparkSession, root: str, feed: Feed) -> DataFrame:
-    return read_staged(spark, root, feed).select("id")
+def existing_ids(spark: SparkSession, table: Table) -> DataFrame:
+    return table.read(spark).select("id")
 
 
 def stage(raw: DataFrame, feed: Feed) -> DataFrame:
@@ -51,12 +37,12 @@ def new_rows(raw: DataFrame, stored: DataFrame | None, feed: Feed) -> DataFrame:
     The id is a hash of the key columns, so the join compares those: they are a fraction
     of the bytes of the hashed ids, and the batch is already partitioned by them. The key
     holds the period, so only the stored days the batch spans can match; the scalar bounds
-    prune the stored partitions to these, whatever the table has grown to.
+    prune the stored partitions to these, whatever the table has grown to. They come from
+    a pass over the period column alone.
     """
-    cleaned = clean(raw, feed)
-    batch = distinct_observations(cleaned, feed, keep_hash=True)
+    batch = distinct_observations(clean(raw, feed), feed, keep_hash=True)
     if stored is not None:
-        days = cleaned.select(F.to_date("period").alias("day"))
+        days = raw.select(F.to_date(hour_period(F.col("period"))).alias("day"))
         near = stored.filter(
             F.col("day").between(
                 days.agg(F.min("day")).scalar(), days.agg(F.max("day")).scalar()
@@ -66,17 +52,11 @@ def new_rows(raw: DataFrame, stored: DataFrame | None, feed: Feed) -> DataFrame:
     return with_content_id(batch, feed).withColumn("day", F.to_date("period"))
 
 
-def append_new(spark: SparkSession, raw: DataFrame, root: str, feed: Feed) -> None:
+def append_new(spark: SparkSession, raw: DataFrame, table: Table, feed: Feed) -> None:
     """Append the rows not stored yet; running a batch again appends nothing.
 
     That also makes a retried or half-finished run safe to repeat. Two runs on one table
     must not overlap in time: neither would see the other's rows.
     """
-    rows = new_rows(raw, read_staged_if_any(spark, root, feed), feed)
-    (
-        rows.hint("rebalance", "day")
-        .sortWithinPartitions("day", "period")
-        .write.mode("append")
-        .partitionBy("day")
-        .parquet(staged_path(root, feed))
-    )
+    rows = new_rows(raw, table.read_if_any(spark), feed)
+    table.append(rows.hint("rebalance", "day").sortWithinPartitions("day", "period"))

@@ -13,6 +13,7 @@ from gridmart.operators.dedup import with_content_id
 from gridmart.schemas import Feed
 from gridmart.sources.landing import landed_schema
 from gridmart.sources.staging import append_new
+from gridmart.sources.tables import Table
 
 # Longer than the largest publication lag (two days).
 DUPLICATE_HORIZON = "3 days"
@@ -28,7 +29,7 @@ def landed_stream(
 
 
 def start_append(
-    raw: DataFrame, staged_root: str, feed: Feed, checkpoint: str
+    raw: DataFrame, table: Table, feed: Feed, checkpoint: str
 ) -> StreamingQuery:
     """Append unseen rows of every micro-batch, then stop when the input is used up.
 
@@ -36,7 +37,7 @@ def start_append(
     """
 
     def append(batch: DataFrame, _: int) -> None:
-        append_new(batch.sparkSession, batch, staged_root, feed)
+        append_new(batch.sparkSession, batch, table, feed)
 
     return (
         raw.writeStream.foreachBatch(append)

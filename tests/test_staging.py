@@ -19,6 +19,10 @@ REVISED = ("2024-01-01T00", "A", "D", "2")
 OTHER_DAY = ("2024-01-02T00", "A", "D", "1")
 
 
+def new_table(spark, feed):
+    return staging.staged_table(new_table_path(spark, "staged"), feed)
+
+
 def test_copies_in_a_batch_become_one_row(spark):
     staged = staging.stage(region(spark, A, A, A, REVISED), REGION)
     assert rows_of(staged, "respondent", "value") == [("A", 1), ("A", 2)]
@@ -40,46 +44,47 @@ def test_content_id_is_the_hash_of_the_rendered_key(spark):
 
 
 def test_appending_twice_adds_nothing(spark):
-    root = new_table_path(spark, "staged")
+    table = new_table(spark, REGION)
     batch = region(spark, A, A, OTHER_DAY)
     for _ in range(2):
-        staging.append_new(spark, batch, root, REGION)
-        assert staging.read_staged(spark, root, REGION).count() == 2
+        staging.append_new(spark, batch, table, REGION)
+        assert table.read(spark).count() == 2
 
 
 def test_revised_value_is_kept_next_to_the_old_one(spark):
-    root = new_table_path(spark, "staged")
-    staging.append_new(spark, region(spark, A), root, REGION)
-    staging.append_new(spark, region(spark, A, REVISED), root, REGION)
-    assert rows_of(staging.read_staged(spark, root, REGION), "value") == [(1,), (2,)]
+    table = new_table(spark, REGION)
+    staging.append_new(spark, region(spark, A), table, REGION)
+    staging.append_new(spark, region(spark, A, REVISED), table, REGION)
+    assert rows_of(table.read(spark), "value") == [(1,), (2,)]
 
 
 def test_empty_batch(spark):
-    root = new_table_path(spark, "staged")
-    staging.append_new(spark, region(spark, A), root, REGION)
-    staging.append_new(spark, region(spark), root, REGION)
-    assert staging.read_staged(spark, root, REGION).count() == 1
+    table = new_table(spark, REGION)
+    staging.append_new(spark, region(spark, A), table, REGION)
+    staging.append_new(spark, region(spark), table, REGION)
+    assert table.read(spark).count() == 1
 
 
 def test_all_feeds_skip_stored_rows(spark):
-    root = new_table_path(spark, "staged")
     for make, feed in ((region, REGION), (fuel, FUEL_TYPE), (interchange, INTERCHANGE)):
+        table = new_table(spark, feed)
         for _ in range(2):
-            staging.append_new(spark, make(spark, ("2024-01-01T00", "A", "B", "1")), root, feed)
-        assert staging.read_staged(spark, root, feed).count() == 1
+            staging.append_new(spark, make(spark, ("2024-01-01T00", "A", "B", "1")), table, feed)
+        assert table.read(spark).count() == 1
 
 
 def test_missing_table_is_a_first_load_but_other_errors_are_not(spark, tmp_path):
-    assert staging.read_staged_if_any(spark, str(tmp_path), REGION) is None
+    assert staging.staged_table(f"{tmp_path}/none", REGION).read_if_any(spark) is None
+    assert staging.staged_table("no_such_table", REGION).read_if_any(spark) is None
     with pytest.raises(Py4JJavaError):
-        staging.read_staged_if_any(spark, "nosuchscheme://x", REGION)
+        staging.staged_table("nosuchscheme://x", REGION).read_if_any(spark)
 
 
 def test_stored_days_outside_the_batch_are_not_read(spark):
-    root = new_table_path(spark, "staged")
+    table = new_table(spark, REGION)
     days = [(f"2024-01-{d:02d}T00", "A", "D", "1") for d in range(1, 29)]
-    staging.append_new(spark, region(spark, *days), root, REGION)
-    stored = staging.read_staged(spark, root, REGION)
+    staging.append_new(spark, region(spark, *days), table, REGION)
+    stored = table.read(spark)
     assert sorted(r["day"] for r in stored.collect())[0] == date(2024, 1, 1)
     fresh = staging.new_rows(region(spark, days[3], ("2024-01-05T07", "A", "D", "9")), stored, REGION)
     assert rows_of(fresh, "value") == [(9,)]
@@ -89,12 +94,12 @@ def test_stored_days_outside_the_batch_are_not_read(spark):
 
 
 def test_stored_side_adds_one_shuffle_only(spark):
-    root = new_table_path(spark, "staged")
-    staging.append_new(spark, region(spark, A), root, REGION)
+    table = new_table(spark, REGION)
+    staging.append_new(spark, region(spark, A), table, REGION)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        fresh = staging.new_rows(region(spark, A), staging.read_staged(spark, root, REGION), REGION)
+        fresh = staging.new_rows(region(spark, A), table.read(spark), REGION)
         plan = fresh._jdf.queryExecution().sparkPlan().toString()
         physical = fresh._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -119,9 +124,9 @@ def test_against_brute_force(spark):
         ]
 
     stored, batch = some(60), some(80)
-    root = new_table_path(spark, "staged")
-    staging.append_new(spark, region(spark, *stored), root, REGION)
-    fresh = staging.new_rows(region(spark, *batch), staging.read_staged(spark, root, REGION), REGION)
+    table = new_table(spark, REGION)
+    staging.append_new(spark, region(spark, *stored), table, REGION)
+    fresh = staging.new_rows(region(spark, *batch), table.read(spark), REGION)
     expected = {(p.replace("T", " ") + ":00:00", r, t, int(v)) for p, r, t, v in set(batch) - set(stored)}
     actual = fresh.select(F.col("period").cast("string"), "respondent", "type", "value").collect()
     assert len(actual) == len(expected)

@@ -43,9 +43,8 @@ FLOW_ROWS = [
 ]
 
 
-@pytest.fixture(scope="module")
-def house(spark):
-    warehouse = Warehouse(spark, new_table_path(spark, "warehouse"))
+def build(spark, root):
+    warehouse = Warehouse(spark, root)
     warehouse.append(region(spark, *REGION_ROWS), REGION)
     warehouse.append(fuel(spark, *FUEL_ROWS), FUEL_TYPE)
     warehouse.append(interchange(spark, *FLOW_ROWS), INTERCHANGE)
@@ -54,6 +53,11 @@ def house(spark):
     return warehouse
 
 
+@pytest.fixture(scope="module")
+def house(spark):
+    return build(spark, new_table_path(spark, "warehouse"))
+
+
 def test_dimension_sizes(spark):
     assert dim_date(spark).count() == 4383
     assert dim_time_of_day(spark).count() == 24
@@ -109,15 +113,21 @@ def test_unknown_codes_and_days_give_null_keys(house):
     assert fact.filter("related_ba_id = -1").count() == 9
 
 
-def test_refresh_replaces_only_its_days(spark, house):
-    other = Warehouse(spark, new_table_path(spark, "warehouse"))
-    other.append(region(spark, *REGION_ROWS), REGION)
-    other.append(fuel(spark, *FUEL_ROWS), FUEL_TYPE)
-    other.append(interchange(spark, *FLOW_ROWS), INTERCHANGE)
-    other.load_seeds(authorities(spark, *SEED), type_seed(spark))
-    other.build_fact()
-    other.append(region(spark, ("2024-01-02T03", "AAA", "D", "8"), ("2024-01-01T09", "AAA", "D", "4")), REGION)
-    other.refresh_fact(date(2024, 1, 2), date(2024, 1, 2))
+@pytest.fixture(params=["folder", "catalog"])
+def other(request, spark):
+    if request.param == "folder":
+        yield build(spark, new_table_path(spark, "warehouse"))
+    else:
+        spark.sql(f"CREATE DATABASE grid LOCATION '{new_table_path(spark, 'database')}'")
+        yield build(spark, "grid")
+        spark.sql("DROP DATABASE grid CASCADE")
+
+
+def test_refresh_replaces_only_its_days(spark, house, other):
+    late = [("2024-01-02T03", "AAA", "D", "8"), ("2024-01-01T09", "AAA", "D", "4")]
+    for _ in range(2):
+        other.append(region(spark, *late), REGION)
+        other.refresh_fact(date(2024, 1, 2), date(2024, 1, 2))
     fact = other.star().fact
     assert fact.count() == house.star().fact.count() + 1
     assert rows_of(fact.filter("date_id = 20240102"), "value") == [(5,), (8,)]

@@ -17,30 +17,32 @@ def _land(spark, root, first, last):
     landing.land(landing.by_run_day(records, FUEL_TYPE, first, last), root, FUEL_TYPE)
 
 
-def _run(spark, root, staged, checkpoint):
+def _run(spark, root, table, checkpoint):
     stream = ingest.landed_stream(spark, root, FUEL_TYPE, max_files_per_trigger=2)
-    ingest.start_append(stream, staged, FUEL_TYPE, checkpoint).awaitTermination()
+    ingest.start_append(stream, table, FUEL_TYPE, checkpoint).awaitTermination()
 
 
 def test_stream_and_batch_store_the_same(spark):
-    root, staged, batch = (new_table_path(spark, n) for n in ("landing", "staged", "batch"))
+    root = new_table_path(spark, "landing")
+    staged, batch = (staging.staged_table(new_table_path(spark, n), FUEL_TYPE) for n in ("a", "b"))
     checkpoint = new_table_path(spark, "progress")
     _land(spark, root, date(2024, 1, 1), date(2024, 1, 3))
     _run(spark, root, staged, checkpoint)
     _land(spark, root, date(2024, 1, 4), date(2024, 1, 5))
     _run(spark, root, staged, checkpoint)
     staging.append_new(spark, landing.read_landed(spark, root, FUEL_TYPE), batch, FUEL_TYPE)
-    by_stream = rows_of(staging.read_staged(spark, staged, FUEL_TYPE))
-    assert by_stream == rows_of(staging.read_staged(spark, batch, FUEL_TYPE))
+    by_stream = rows_of(staged.read(spark))
+    assert by_stream == rows_of(batch.read(spark))
     assert len(by_stream) == len(RECORDS)
 
 
 def test_replay_from_the_start_adds_nothing(spark):
-    root, staged = new_table_path(spark, "landing"), new_table_path(spark, "staged")
+    root = new_table_path(spark, "landing")
+    staged = staging.staged_table(new_table_path(spark, "staged"), FUEL_TYPE)
     _land(spark, root, date(2024, 1, 1), date(2024, 1, 5))
     for _ in range(2):
         _run(spark, root, staged, new_table_path(spark, "progress"))
-        assert staging.read_staged(spark, staged, FUEL_TYPE).count() == len(RECORDS)
+        assert staged.read(spark).count() == len(RECORDS)
 
 
 def test_distinct_stream(spark):
