@@ -65,9 +65,10 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         )
         records = found.select("day", F.explode("response.data").alias("record"))
         land(records.select("record.*", "day"), args.landing, feed)
-        short = page_completeness(found, feed).filter("is_incomplete")
-        short.show(truncate=False)
-        return 1 if short.count() else 0
+        short = page_completeness(found, feed).filter("is_incomplete").collect()  # a row per day
+        for row in sorted(short):
+            print(row["feed"], row["day"], f"{row['collected']} of {row['announced']} rows")
+        return 1 if short else 0
 
     house = Warehouse(spark, args.warehouse)
     if args.step == "stage":

@@ -17,6 +17,7 @@ from gridmart.plans import quality
 from gridmart.plans.dimensions import dim_ba, dim_date, dim_time_of_day, dim_type
 from gridmart.plans.star import Dimensions, Star, fact_table, grid_fact, refresh_fact, write_fact
 from gridmart.schemas import DIM_BA_SCHEMA, DIM_TYPE_SCHEMA, FACT_COLUMNS, FEEDS, Feed
+from gridmart.session import apply_settings
 from gridmart.sources.staging import append_new, staged_table
 from gridmart.sources.tables import Table
 
@@ -28,6 +29,9 @@ class Warehouse:
     spark: SparkSession
     root: str
 
+    def __post_init__(self) -> None:
+        apply_settings(self.spark)
+
     def _target(self, name: str) -> str:
         return f"{self.root}/{name}" if "/" in self.root else f"{self.root}.{name}"
 
