@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmart.functions.keys import content_id
 from gridmart.functions.parsing import hour_period
 from gridmart.operators.cleaning import clean
 from gridmart.operators.dedup import (
@@ -31,8 +32,8 @@ def stage(raw: DataFrame, feed: Feed) -> DataFrame:
     return with_content_id(distinct_observations(clean(raw, feed), feed), feed)
 
 
-def new_rows(raw: DataFrame, stored: DataFrame | None, feed: Feed) -> DataFrame:
-    """Staged form of the raw rows that are not stored yet, with their ``day``.
+def _unseen_observations(raw: DataFrame, stored: DataFrame | None, feed: Feed) -> DataFrame:
+    """Cleaned rows that are not stored yet, one per key, with their ``day``.
 
     The id is a hash of the key columns, so the join compares those: they are a fraction
     of the bytes of the hashed ids, and the batch is already partitioned by them. The key
@@ -49,14 +50,21 @@ def new_rows(raw: DataFrame, stored: DataFrame | None, feed: Feed) -> DataFrame:
             )
         )
         batch = unseen(batch, with_key_hash(near, feed), (KEY_HASH, *feed.key))
-    return with_content_id(batch, feed).withColumn("day", F.to_date("period"))
+    return batch.withColumn("day", F.to_date("period"))
+
+
+def new_rows(raw: DataFrame, stored: DataFrame | None, feed: Feed) -> DataFrame:
+    """Staged form of the raw rows that are not stored yet."""
+    return with_content_id(_unseen_observations(raw, stored, feed), feed)
 
 
 def append_new(spark: SparkSession, raw: DataFrame, table: Table, feed: Feed) -> None:
     """Append the rows not stored yet; running a batch again appends nothing.
 
     That also makes a retried or half-finished run safe to repeat. Two runs on one table
-    must not overlap in time: neither would see the other's rows.
+    must not overlap in time: neither would see the other's rows. Ids are added last, so
+    that the shuffle and sort for the file layout do not carry them.
     """
-    rows = new_rows(raw, table.read_if_any(spark), feed)
-    table.append(rows.hint("rebalance", "day").sortWithinPartitions("day", "period"))
+    rows = _unseen_observations(raw, table.read_if_any(spark), feed)
+    laid_out = rows.hint("rebalance", "day").sortWithinPartitions("day", "period")
+    table.append(laid_out.withColumn("id", content_id(feed.key)))
