@@ -26,7 +26,7 @@ def grid_topology(star: Star, day: date) -> DataFrame:
 
 
 def grid_skeleton(star: Star, day: date) -> DataFrame:
-    """Active authorities with the edges of one reference day; lone authorities stay.
+    """Active authorities with the edges of one chosen day; lone authorities stay.
 
     At most one row per authority pair and the same for every hour shown, so ``cache()``
     it when several hours are drawn.

@@ -14,7 +14,7 @@ from gridmart.operators.cleaning import clean, rejected_rows
 from gridmart.operators.dedup import unseen, with_content_id
 from gridmart.operators.unify import single_authority
 from gridmart.plans import dashboard, dimensions, grid_map, quality
-from gridmart.plans.star import fact_table, write_fact
+from gridmart.plans.star import Star, fact_table, write_fact
 from gridmart.registry import feeds as source
 from gridmart.schemas import FEEDS, FUEL_TYPE, INTERCHANGE, REGION, Feed
 from gridmart.session import apply_settings, new_table_path
@@ -59,6 +59,10 @@ def _stack(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _star(spark: SparkSession, sf_dir: str) -> Star:
+    return source.warehouse(spark, sf_dir).star()
+
+
 def _empty_table(spark: SparkSession, feed: Feed) -> Table:
     return staging.staged_table(new_table_path(spark, "staged"), feed)
 
@@ -277,7 +281,7 @@ def _observed(dim: DataFrame, rows: DataFrame, key: str) -> DataFrame:
 
 
 def _observed_dim(spark: SparkSession, sf_dir: str, dim: str, key: str) -> DataFrame:
-    star = source.warehouse(spark, sf_dir).star()
+    star = _star(spark, sf_dir)
     return _observed(getattr(star.dims, dim), star.fact, key)
 
 
@@ -311,43 +315,43 @@ def fact(spark, sf_dir):
 
 @_register
 def timeseries(spark, sf_dir):
-    return dashboard.timeseries(source.warehouse(spark, sf_dir).star(), FIRST_DAY, LAST_DAY)
+    return dashboard.timeseries(_star(spark, sf_dir), FIRST_DAY, LAST_DAY)
 
 
 @_register
 def regional_summary(spark, sf_dir):
-    return dashboard.regional_summary(source.warehouse(spark, sf_dir).star(), FIRST_DAY, LAST_DAY)
+    return dashboard.regional_summary(_star(spark, sf_dir), FIRST_DAY, LAST_DAY)
 
 
 @_register
 def category_totals(spark, sf_dir):
     return dashboard.category_totals(
-        dashboard.regional_summary(source.warehouse(spark, sf_dir).star(), FIRST_DAY, LAST_DAY)
+        dashboard.regional_summary(_star(spark, sf_dir), FIRST_DAY, LAST_DAY)
     )
 
 
 @_register
 def generation_mix(spark, sf_dir):
-    return dashboard.generation_mix(source.warehouse(spark, sf_dir).star(), FIRST_DAY, LAST_DAY)
+    return dashboard.generation_mix(_star(spark, sf_dir), FIRST_DAY, LAST_DAY)
 
 
 @_register
 def grid_topology(spark, sf_dir):
-    return grid_map.grid_topology(source.warehouse(spark, sf_dir).star(), MAP_DAY)
+    return grid_map.grid_topology(_star(spark, sf_dir), MAP_DAY)
 
 
 @_register
 def grid_skeleton(spark, sf_dir):
-    return grid_map.grid_skeleton(source.warehouse(spark, sf_dir).star(), MAP_DAY)
+    return grid_map.grid_skeleton(_star(spark, sf_dir), MAP_DAY)
 
 
 @_register
 def hourly_telemetry(spark, sf_dir):
-    return grid_map.hourly_telemetry(source.warehouse(spark, sf_dir).star(), MAP_DAY, MAP_HOUR)
+    return grid_map.hourly_telemetry(_star(spark, sf_dir), MAP_DAY, MAP_HOUR)
 
 
 def _map_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = source.warehouse(spark, sf_dir).star()
+    star = _star(spark, sf_dir)
     return grid_map.map_frame(
         grid_map.grid_skeleton(star, MAP_DAY), grid_map.hourly_telemetry(star, MAP_DAY, MAP_HOUR)
     )
@@ -376,7 +380,7 @@ def active_flows(spark, sf_dir):
 
 @_register
 def edge_list(spark, sf_dir):
-    return grid_map.edge_list(grid_map.grid_skeleton(source.warehouse(spark, sf_dir).star(), MAP_DAY))
+    return grid_map.edge_list(grid_map.grid_skeleton(_star(spark, sf_dir), MAP_DAY))
 
 
 # Data checks
@@ -392,20 +396,19 @@ def _hashed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @_register
 def dq_not_null(spark, sf_dir):
-    return quality.not_null_checks(
-        _hashed(spark, sf_dir), source.warehouse(spark, sf_dir).unified(), source.warehouse(spark, sf_dir).star()
-    )
+    unified = source.warehouse(spark, sf_dir).unified()
+    return quality.not_null_checks(_hashed(spark, sf_dir), unified, _star(spark, sf_dir))
 
 
 @_register
 def dq_unique(spark, sf_dir):
-    return quality.unique_checks(_hashed(spark, sf_dir), source.warehouse(spark, sf_dir).star())
+    return quality.unique_checks(_hashed(spark, sf_dir), _star(spark, sf_dir))
 
 
 @_register
 def dq_relationships(spark, sf_dir):
     """References of the fact, and of one whose authorities are the active ones only."""
-    star = source.warehouse(spark, sf_dir).star()
+    star = _star(spark, sf_dir)
     active = star.dims.ba.filter(F.col("is_active") == "Yes")
     return quality.relationship_checks(star).unionByName(
         quality.relationships(
@@ -418,9 +421,8 @@ def dq_relationships(spark, sf_dir):
 
 @_register
 def dq_report(spark, sf_dir):
-    return quality.report(
-        _hashed(spark, sf_dir), source.warehouse(spark, sf_dir).unified(), source.warehouse(spark, sf_dir).star()
-    )
+    unified = source.warehouse(spark, sf_dir).unified()
+    return quality.report(_hashed(spark, sf_dir), unified, _star(spark, sf_dir))
 
 
 # Streams

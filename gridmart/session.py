@@ -57,5 +57,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
-    """Unused path for a working table in the shared folder."""
-    return f"{shared_folder(spark)}/gridmart/{name}-{uuid.uuid4().hex}"
+    """Unused path for a working table in the shared folder, under the application's id.
+
+    Nothing is deleted here: another reader may still hold the table. What a finished
+    application leaves is one folder, to be expired like other checkpoint data.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/gridmart/{application}/{name}-{uuid.uuid4().hex}"

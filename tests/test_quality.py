@@ -29,10 +29,11 @@ def _failures(report):
 
 
 HOUR = "2024-01-01T00"
+CLEAN = ([(HOUR, "AAA", "D", "1")], [(HOUR, "AAA", "SUN", "1")], [(HOUR, "AAA", "BBB", "1")])
 
 
 def test_clean_data_passes_all_thirty_checks(spark):
-    house = _warehouse(spark, [(HOUR, "AAA", "D", "1")], [(HOUR, "AAA", "SUN", "1")], [(HOUR, "AAA", "BBB", "1")])
+    house = _warehouse(spark, *CLEAN)
     report = house.check()
     rows = report.collect()
     assert len(rows) == len({r[:3] for r in rows}) == 30
@@ -57,8 +58,12 @@ def test_bad_data_fails_exactly_where_it_is_bad(spark):
 
 
 def test_unique_ignores_nulls_and_counts_values(spark):
-    rows = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), ("c",), ("c",), (None,), (None,)], "k string")
-    assert _failures(quality.key_checks(rows, "t", "k")) == {("t", "k", "not_null"): 2, ("t", "k", "unique"): 2}
+    keys = ["a", "a", "a", "b", "c", "c", None, None]
+    rows = spark.createDataFrame([(k,) for k in keys], "k string")
+    assert _failures(quality.key_checks(rows, "t", "k")) == {
+        ("t", "k", "not_null"): 2,
+        ("t", "k", "unique"): 2,
+    }
     assert _failures(quality.unique(rows, "t", "k")) == {("t", "k", "unique"): 2}
     assert _failures(quality.not_null(rows, "t", ["k"])) == {("t", "k", "not_null"): 2}
 
@@ -77,7 +82,7 @@ def test_relationships_count_orphans_only(spark):
 
 
 def test_fact_is_read_once_for_its_ten_checks(spark):
-    house = _warehouse(spark, [(HOUR, "AAA", "D", "1")], [(HOUR, "AAA", "SUN", "1")], [(HOUR, "AAA", "BBB", "1")])
+    house = _warehouse(spark, *CLEAN)
     plan = quality.fact_checks(house.star())._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.split("\n") if "FileScan" in line and "related_ba_id" in line]
     assert len(scans) == 1

@@ -60,14 +60,13 @@ def test_a_day_with_most_rows_is_written_by_several_tasks(spark):
     table = staging.staged_table(new_table_path(spark, "staged"), REGION)
     with settings(
         spark,
-        spark_sql_adaptive_advisoryPartitionSizeInBytes="256KB",
-        spark_sql_adaptive_coalescePartitions_minPartitionSize="32KB",
+        spark_sql_adaptive_advisoryPartitionSizeInBytes="64KB",
+        spark_sql_adaptive_coalescePartitions_minPartitionSize="16KB",
     ):
         staging.append_new(spark, hourly_rows(spark, 40_000, 2_000), table, REGION)
     stored = table.read(spark)
     assert stored.count() == 42_000
-    assert files_of_day(stored, date(2024, 1, 5)) > 2
-    assert files_of_day(stored, date(2024, 1, 7)) == 1
+    assert files_of_day(stored, date(2024, 1, 5)) > 2 * files_of_day(stored, date(2024, 1, 7))
 
 
 def test_a_landed_day_with_most_rows_is_split_too(spark):
