@@ -5,13 +5,49 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridmart.llm import byte_pairs, token_counts
+from gridmart.llm import byte_pairs, language_id, mixing, quality_rules, records, sharding, token_counts
 from gridmart.llm.common import read_documents
+from gridmart.llm.oracle import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = sharding.shard_by_bytes(read_documents(spark, sf_dir))
+    return sharded.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_documents(spark, sf_dir))
+
+
+def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.token_records(spark, read_documents(spark, sf_dir))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    ruled = quality_rules.apply_rules(read_documents(spark, sf_dir), labels)
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return ruled.select("doc_id", *counts, "base_failed", "kept", F.concat_ws(",", "rejected_by").alias("rejected_by"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_documents(spark, sf_dir)).drop("row_key")
+
+
 def op7_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_pairs.encode_decode(read_documents(spark, sf_dir))
 
@@ -21,8 +57,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_sharding": op1_sharding,
+    "op3_language_id": op3_language_id,
+    "op5_token_records": op5_token_records,
+    "op6_quality_rules": op6_quality_rules,
+    "op9_mixing": op9_mixing,
     "op7_byte_level_bpe": op7_byte_level_bpe,
     "op10_token_counts": op10_token_counts,
 }
-
-ORACLE_SQL: dict[str, str] = {}
