@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import byte_pairs, language_id, mixing, quality_rules, records, sharding, token_counts
+from gridmart.llm import byte_pairs, jaccard, language_id, mixing, quality_rules, records, sharding, token_counts
 from gridmart.llm.common import read_documents
 from gridmart.llm.oracle import ORACLE_SQL
 
@@ -29,6 +29,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_classes(read_documents(spark, sf_dir), words_each=3, percent=90)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read_documents(spark, sf_dir))
 
@@ -58,6 +62,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_language_id": op3_language_id,
     "op5_token_records": op5_token_records,
     "op6_quality_rules": op6_quality_rules,
