@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import byte_pairs, jaccard, language_id, mixing, quality_rules, records, sharding, token_counts
+from gridmart.llm import byte_pairs, jaccard, language_id, mixing, nearest, quality_rules, records, sharding, token_counts
 from gridmart.llm.common import read_documents
 from gridmart.llm.oracle import ORACLE_SQL
 
@@ -48,6 +48,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ruled.select("doc_id", *counts, "base_failed", "kept", F.concat_ws(",", "rejected_by").alias("rejected_by"))
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest.nearest(embeddings, F.col("vec_id") % 20 == 0)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_documents(spark, sf_dir)).drop("row_key")
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op5_token_records": op5_token_records,
     "op6_quality_rules": op6_quality_rules,
+    "op8_nearest": op8_nearest,
     "op9_mixing": op9_mixing,
     "op7_byte_level_bpe": op7_byte_level_bpe,
     "op10_token_counts": op10_token_counts,
