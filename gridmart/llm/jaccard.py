@@ -287,21 +287,10 @@ def _derived(around: DataFrame, percent: int) -> DataFrame:
     return direct.unionByName(linked.select(F.col("outlier").alias("a"), F.col("node").alias("b")))
 
 
-def similarity_classes(
-    documents: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    words_each: int = 5,
-    percent: int = 80,
-) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
-
-    Documents link when 100 * common shingles >= ``percent`` * all shingles of both; the component
-    is the smallest id reachable by links, the document's own included. Texts without words and
-    null texts have no shingles and link with nothing. Null ids are never the smallest; a
-    component of null ids only has a null one. Repeated rows have equal sets, so they share a component. An empty
-    table gives an empty result; other columns are not read.
-    """
+def _classes(
+    documents: DataFrame, id_column: str, text_column: str, words_each: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Documents with shingles by class (doc_id, text_hash, n, h1, h2), and those without."""
     spark = documents.sparkSession
     texts = documents.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     keyed = texts.withColumn("text_hash", F.xxhash64("text"))
@@ -344,14 +333,58 @@ def similarity_classes(
     heads = nodes.select(F.col("node").alias("component"), F.col("c1").alias("h1"), F.col("c2").alias("h2"))
     labels = labels.join(heads, "component").select("c1", "c2", "h1", "h2")
     classed = described.filter("n > 0").join(labels, ["c1", "c2"], "left").select(
-        "doc_id", "n", F.coalesce("h1", "c1").alias("h1"), F.coalesce("h2", "c2").alias("h2")
+        "doc_id", "text_hash", "n", F.coalesce("h1", "c1").alias("h1"), F.coalesce("h2", "c2").alias("h2")
     )
-    classed = stored(classed, "jaccard-classes")
+    return stored(classed, "jaccard-classes"), described.filter("n = 0")
+
+
+def similarity_classes(
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    words_each: int = 5,
+    percent: int = 80,
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.
+
+    Documents link when 100 * common shingles >= ``percent`` * all shingles of both; the component
+    is the smallest id reachable by links, the document's own included. Texts without words and
+    null texts have no shingles and link with nothing. Null ids are never the smallest; a
+    component of null ids only has a null one. Repeated rows have equal sets, so they share a component. An empty
+    table gives an empty result; other columns are not read.
+    """
+    classed, bare = _classes(documents, id_column, text_column, words_each, percent)
     least = classed.groupBy("h1", "h2").agg(F.min("doc_id").alias("component_id"))
     return (
         classed.join(least, ["h1", "h2"])
         .select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id")
         .unionByName(
-            described.filter("n = 0").select("doc_id", F.lit(0).cast("bigint").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+            bare.select("doc_id", F.lit(0).cast("bigint").alias("n_shingles"), F.col("doc_id").alias("component_id"))
         )
     )
+
+
+def representatives(
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    words_each: int = 5,
+    percent: int = 80,
+) -> DataFrame:
+    """The documents, with all their columns, of which each class keeps one: that of the smallest id.
+
+    Null ids are kept only where a class has no other. Documents without shingles are all kept. Of repeated rows
+    of the smallest id, one stays.
+    """
+    columns = documents.columns
+    classed, bare = _classes(documents, id_column, text_column, words_each, percent)
+    rows = classed.groupBy("h1", "h2", "doc_id", "text_hash").agg(F.count("*").alias("rows"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "rows")).alias("first")
+    chosen = rows.groupBy("h1", "h2").agg(first).select("first.doc_id", "first.text_hash", "first.rows")
+    chosen = chosen.unionByName(bare.select("doc_id", "text_hash", F.lit(1).cast("bigint").alias("rows")).distinct())
+    chosen = stored(chosen, "jaccard-kept").toDF("__id", "__hash", "__rows")
+    keyed = documents.withColumn("__text_hash", F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))))
+    kept = keyed.join(chosen, (F.col("__text_hash") == F.col("__hash")) & F.col(id_column).eqNullSafe(F.col("__id")))
+    single = kept.filter("__rows = 1").select(*columns)
+    repeated = kept.filter("__rows > 1").dropDuplicates(["__hash", "__id"]).select(*columns)
+    return single.unionByName(repeated)

@@ -180,8 +180,31 @@ def apply_rules(
     table gives an empty result; without labels only the base applies; other columns are not
     read.
     """
-    spark = documents.sparkSession
     measured = stored(measure(documents, id_column, text_column, {"stratum": stratum_column}), "quality-counts")
+    return _ruled(measured, _cutoff_table(measured, labels, risk, error))
+
+
+def kept_documents(
+    documents: DataFrame,
+    labels: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    stratum_column: str = "lang",
+    risk: float = RISK,
+    error: float = ERROR,
+) -> DataFrame:
+    """The documents that ``apply_rules`` keeps, with all their columns."""
+    names = {f"__kept_{i}": column for i, column in enumerate(documents.columns)}
+    labelled = documents.join(labels.select(F.col("doc_id").alias("__label")).distinct(), F.col(id_column) == F.col("__label"), "left_semi")
+    held_out = stored(measure(labelled, id_column, text_column, {"stratum": stratum_column}), "quality-holdout")
+    table = _cutoff_table(held_out, labels, risk, error)
+    measured = measure(documents, id_column, text_column, {"stratum": stratum_column, **names})
+    kept = _ruled(measured, table).filter("kept")
+    return kept.select(*[F.col(name).alias(column) for name, column in names.items()])
+
+
+def _cutoff_table(measured: DataFrame, labels: DataFrame, risk: float, error: float) -> DataFrame:
+    """A row for each stratum with a rule on: known, and a cutoff or null for each rule."""
     judged = labels.filter(F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").alias("label_id")).agg(
         F.max("quality").alias("quality")
     )
@@ -195,10 +218,14 @@ def apply_rules(
     )
     # Strata x rules x grid rows at most, for the driver's arithmetic.
     cutoffs = choose_cutoffs([tuple(r) for r in counts.collect()], risk, error)
-    strata = {stratum for stratum, _ in cutoffs}
-    rows = [(stratum, *[cutoffs.get((stratum, rule)) for rule in RULES]) for stratum in sorted(strata, key=lambda s: (s is None, s))]
+    strata = sorted({stratum for stratum, _ in cutoffs}, key=lambda s: (s is None, s))
+    rows = [(stratum, *[cutoffs.get((stratum, rule)) for rule in RULES]) for stratum in strata]
     stratum_type = measured.schema["stratum"].dataType.simpleString()
-    table = spark.createDataFrame(rows, f"known {stratum_type}, " + ", ".join(f"cut_{rule} double" for rule in RULES))
+    schema = f"known {stratum_type}, " + ", ".join(f"cut_{rule} double" for rule in RULES)
+    return measured.sparkSession.createDataFrame(rows, schema)
+
+
+def _ruled(measured: DataFrame, table: DataFrame) -> DataFrame:
     ruled = measured.join(table, F.col("stratum").eqNullSafe(F.col("known")), "left")
     over = [F.when(ratio > F.col(f"cut_{rule}"), F.lit(rule)) for rule, ratio in ratios().items()]
     ruled = ruled.withColumn("base_failed", base_failed()).withColumn("rejected_by", F.array_compact(F.array(*over)))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import byte_pairs, jaccard, language_id, mixing, nearest, quality_rules, records, sharding, token_counts
+from gridmart.llm import byte_pairs, jaccard, language_id, mixing, nearest, quality_rules, records, sharding, token_counts, weak_labels
 from gridmart.llm.common import read_documents
 from gridmart.llm.oracle import ORACLE_SQL
 
@@ -37,6 +37,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read_documents(spark, sf_dir))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_labels.classify(read_documents(spark, sf_dir))
+
+
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.token_records(spark, read_documents(spark, sf_dir))
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_language_id": op3_language_id,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_token_records": op5_token_records,
     "op6_quality_rules": op6_quality_rules,
     "op8_nearest": op8_nearest,
