@@ -42,11 +42,12 @@ def hover_text(name: Column, code: Column, demand: Column, flow: Column) -> Colu
 
 
 def flow_text(code: Column, related: Column, value: Column) -> Column:
+    """Text of a flow; the far end may be an authority that the model does not know."""
     return F.concat(
         F.lit("Flow: "),
         code,
         F.lit(" ➔ "),
-        related.cast("string"),
+        F.coalesce(related.cast("string"), F.lit("unknown")),
         F.lit("<br>Value: "),
         F.format_number(value, 0),
         F.lit(" MW"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmart.functions.labels import bubble_size, flow_direction, flow_text, hover_text
@@ -141,7 +141,11 @@ def active_flows(frame: DataFrame) -> DataFrame:
 
 
 def node_bubbles(nodes: DataFrame) -> DataFrame:
-    """Nodes with demand and their marker size, relative to the largest demand."""
+    """Nodes with demand and their marker size, relative to the largest demand.
+
+    There is a row per authority, so one window over all of them is small, and the frame
+    under it is evaluated once.
+    """
     shown = nodes.filter(F.col("value_demand").isNotNull())
-    largest = shown.agg(F.max("value_demand")).scalar()
+    largest = F.max("value_demand").over(Window.partitionBy())
     return shown.withColumn("bubble_size", bubble_size(F.col("value_demand"), largest))

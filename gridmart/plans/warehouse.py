@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.operators.unify import unify
@@ -50,8 +50,8 @@ class Warehouse:
     def _type_table(self) -> Table:
         return Table(self._target("dim_type"), DIM_TYPE_SCHEMA)
 
-    def append(self, raw: DataFrame, feed: Feed) -> None:
-        append_new(self.spark, raw, self.staged_table(feed), feed)
+    def append(self, raw: DataFrame, feed: Feed, rejected: Observation | None = None) -> None:
+        append_new(self.spark, raw, self.staged_table(feed), feed, rejected)
 
     def staged(self, first: date | None = None, last: date | None = None) -> dict[str, DataFrame]:
         """Staged feeds; bounds prune their day partitions."""
@@ -91,9 +91,20 @@ class Warehouse:
         """Rebuild only the days ``first..last``; reads only those staged days."""
         refresh_fact(self.fact_from_staged(first, last), self.fact_table, first, last)
 
-    def star(self) -> Star:
-        return Star(self.fact_table.read(self.spark).select(*FACT_COLUMNS), self.dimensions())
-
-    def check(self) -> DataFrame:
-        """All data checks, one row each."""
-        return quality.report(self.staged(), self.unified(), self.star())
+    def star(self, first: date | None = None, last: date | None = None) -> Star:
+        """The fact and its dimensions; bounds prune the fact's day partitions."""
+        fact = self.fact_table.read(self.spark).select(*FACT_COLUMNS)
+        if first is not None:
+            fact = fact.filter(F.col("date_id") >= int(f"{first:%Y%m%d}"))
+        if last is not None:
+            fact = fact.filter(F.col("date_id") <= int(f"{last:%Y%m%d}"))
+        return Star(fact, self.dimensions())
+
+    def check(self, first: date | None = None, last: date | None = None) -> DataFrame:
+        """All data checks, one row each; bounds limit the feeds and the fact to some days.
+
+        Equal keys have equal days, so that checking days one by one finds every repeat.
+        Fact rows without a day are in no range.
+        """
+        days = first, last
+        return quality.report(self.staged(*days), self.unified(*days), self.star(*days))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,7 @@ EVENT_SERIES = {"view": "D", "error": "D", "click": "DF", "signup": "NG", "purch
 
 UNITS = "megawatthours"
 FIRST_DAY = "2024-01-01"
+TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")
 HOURS = 720  # both order keys are spread over 30 days
 
 
@@ -184,17 +186,46 @@ def authority_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.unionByName(unknown)
 
 
+def _state(sf_dir: str, spark: SparkSession) -> tuple:
+    """What the given tables are made of now: a table that is rewritten is derived from anew."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = []
+    for name in TABLES:
+        root = path(f"{sf_dir}/{name}.parquet")
+        listed = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+        files += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in listed]
+    return tuple(files)
+
+
 @functools.cache
-def _raw_root(spark: SparkSession, application: str, sf_dir: str) -> str:
+def _raw_root(spark: SparkSession, application: str, sf_dir: str, state: tuple) -> str:
     root = new_table_path(spark, "raw")
     for name, derive in _DERIVED.items():
         derive(spark, sf_dir).write.parquet(f"{root}/{name}")
     return root
 
 
+@functools.cache
+def _observation_days(spark: SparkSession, root: str) -> tuple[date, date]:
+    bounds = [
+        spark.read.schema(feed.raw_schema)
+        .parquet(f"{root}/{name}")
+        .agg(F.min(F.substring("period", 1, 10)), F.max(F.substring("period", 1, 10)))
+        .first()
+        for name, feed in FEEDS.items()
+    ]
+    days = [date.fromisoformat(day) for row in bounds for day in row if day]
+    return min(days), max(days)
+
+
+def observation_days(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """First and last day of the raw feeds."""
+    return _observation_days(spark, _raw_root(spark, spark.sparkContext.applicationId, sf_dir, _state(sf_dir, spark)))
+
+
 def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The raw feeds, derived from the whole tables once per application and stored."""
-    root = _raw_root(spark, spark.sparkContext.applicationId, sf_dir)
+    root = _raw_root(spark, spark.sparkContext.applicationId, sf_dir, _state(sf_dir, spark))
     return {
         name: spark.read.schema(feed.raw_schema).parquet(f"{root}/{name}")
         for name, feed in FEEDS.items()
@@ -202,7 +233,7 @@ def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 @functools.cache
-def _warehouse(spark: SparkSession, application: str, sf_dir: str) -> Warehouse:
+def _warehouse(spark: SparkSession, application: str, sf_dir: str, state: tuple) -> Warehouse:
     house = Warehouse(spark, new_table_path(spark, "warehouse"))
     for name, raw in raw_feeds(spark, sf_dir).items():
         house.append(raw, FEEDS[name])
@@ -213,7 +244,7 @@ def _warehouse(spark: SparkSession, application: str, sf_dir: str) -> Warehouse:
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Staged feeds, dimensions and fact, built from the raw feeds once per application."""
-    return _warehouse(spark, spark.sparkContext.applicationId, sf_dir)
+    return _warehouse(spark, spark.sparkContext.applicationId, sf_dir, _state(sf_dir, spark))
 
 
 def _pages(records: DataFrame, feed: Feed, page_key: list[str]) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +25,7 @@ from gridmart.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The derived feeds cover these observation days; runs go on for the lookback after.
-FIRST_DAY, LAST_DAY = date(2024, 1, 1), date(2024, 1, 30)
-LAST_RUN = date(2024, 2, 1)
+# A day in the middle to split appends at, and the one the map shows.
 SPLIT_DAY = date(2024, 1, 16)
 MAP_DAY, MAP_HOUR = date(2024, 1, 15), 8
 
@@ -63,6 +61,11 @@ def _star(spark: SparkSession, sf_dir: str) -> Star:
     return source.warehouse(spark, sf_dir).star()
 
 
+def _days(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """First and last observation day of all feeds."""
+    return source.observation_days(spark, sf_dir)
+
+
 def _empty_table(spark: SparkSession, feed: Feed) -> Table:
     return staging.staged_table(new_table_path(spark, "staged"), feed)
 
@@ -79,22 +82,31 @@ def page_flatten(spark, sf_dir):
 
 @_register
 def page_completeness(spark, sf_dir):
-    """Region pages of one event type never arrive; fuel pages all do."""
+    """Region pages of one event type and of a whole day never arrive; fuel pages all do, those
+    of a day twice."""
     root = new_table_path(spark, "pages")
-    arrived = source.region_pages(spark, sf_dir).filter(F.col("event_type") != "error")
+    arrived = source.region_pages(spark, sf_dir).filter(
+        (F.col("event_type") != "error") & (F.col("day") != F.lit(MAP_DAY))
+    )
     source.write_pages(arrived, root, REGION)
-    source.write_pages(source.fuel_type_pages(spark, sf_dir), root, FUEL_TYPE)
+    fuel = source.fuel_type_pages(spark, sf_dir)
+    twice = fuel.unionByName(fuel.filter(F.col("day") == F.lit(MAP_DAY)))
+    source.write_pages(twice, root, FUEL_TYPE)
+    days = _days(spark, sf_dir)
     return _stack(
         [
-            pages.page_completeness(pages.read_pages(spark, root, feed), feed)
+            pages.page_completeness(pages.read_pages(spark, root, feed), feed, days)
             for feed in (REGION, FUEL_TYPE)
         ]
     )
 
 
 def _land_all(spark: SparkSession, sf_dir: str, feed: Feed, root: str) -> None:
+    """Every run that fetches any of the feed's days; the last ones come after its last day."""
     raw = source.raw_feeds(spark, sf_dir)[feed.name]
-    landing.land(landing.by_run_day(raw, feed, FIRST_DAY, LAST_RUN), root, feed)
+    first, last = _days(spark, sf_dir)
+    last_run = last + timedelta(days=feed.lookback_days)
+    landing.land(landing.by_run_day(raw, feed, first, last_run), root, feed)
 
 
 @_register
@@ -125,9 +137,10 @@ def scan_day(spark, sf_dir):
 @_register
 def lookback_window(spark, sf_dir):
     """Rows every run of every feed fetches."""
+    first, last = _days(spark, sf_dir)
     return _stack(
         [
-            landing.by_run_day(raw, FEEDS[name], FIRST_DAY, LAST_RUN)
+            landing.by_run_day(raw, FEEDS[name], first, last + timedelta(days=FEEDS[name].lookback_days))
             .groupBy(F.lit(name).alias("feed"), F.col("day").alias("run_day"))
             .agg(F.count(F.lit(1)).alias("fetched_rows"))
             for name, raw in source.raw_feeds(spark, sf_dir).items()
@@ -315,24 +328,24 @@ def fact(spark, sf_dir):
 
 @_register
 def timeseries(spark, sf_dir):
-    return dashboard.timeseries(_star(spark, sf_dir), FIRST_DAY, LAST_DAY)
+    return dashboard.timeseries(_star(spark, sf_dir), *_days(spark, sf_dir))
 
 
 @_register
 def regional_summary(spark, sf_dir):
-    return dashboard.regional_summary(_star(spark, sf_dir), FIRST_DAY, LAST_DAY)
+    return dashboard.regional_summary(_star(spark, sf_dir), *_days(spark, sf_dir))
 
 
 @_register
 def category_totals(spark, sf_dir):
     return dashboard.category_totals(
-        dashboard.regional_summary(_star(spark, sf_dir), FIRST_DAY, LAST_DAY)
+        dashboard.regional_summary(_star(spark, sf_dir), *_days(spark, sf_dir))
     )
 
 
 @_register
 def generation_mix(spark, sf_dir):
-    return dashboard.generation_mix(_star(spark, sf_dir), FIRST_DAY, LAST_DAY)
+    return dashboard.generation_mix(_star(spark, sf_dir), *_days(spark, sf_dir))
 
 
 @_register
@@ -445,16 +458,14 @@ def stream_append(spark, sf_dir):
 
 @_register
 def stream_dedup(spark, sf_dir):
-    """The same runs with repeats dropped inside the stream."""
-    root, target = new_table_path(spark, "landing"), new_table_path(spark, "stream")
+    """The same runs in several micro-batches, the newest files first."""
+    root = new_table_path(spark, "landing")
     _land_all(spark, sf_dir, FUEL_TYPE, root)
-    rows = ingest.distinct_stream(ingest.landed_stream(spark, root, FUEL_TYPE), FUEL_TYPE)
-    (
-        rows.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", new_table_path(spark, "progress"))
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.schema(rows.schema).parquet(target)
+    table = _empty_table(spark, FUEL_TYPE)
+    ingest.start_append(
+        ingest.landed_stream(spark, root, FUEL_TYPE, max_files_per_trigger=8, newest_first=True),
+        table,
+        FUEL_TYPE,
+        new_table_path(spark, "progress"),
+    ).awaitTermination()
+    return table.read(spark).drop("day")

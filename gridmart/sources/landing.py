@@ -29,17 +29,21 @@ def _observation_day() -> Column:
 
 
 def within_window(records: DataFrame, feed: Feed, run_day: date) -> DataFrame:
-    return records.filter(_observation_day().between(*lookback_window(feed, run_day)))
+    """Records of a run's window; those without a readable day stay, to be counted when staged."""
+    day = _observation_day()
+    return records.filter(day.isNull() | day.between(*lookback_window(feed, run_day)))
 
 
 def by_run_day(records: DataFrame, feed: Feed, first: date, last: date) -> DataFrame:
     """Records once for every run in ``first..last`` whose window covers them.
 
     This is a whole backfill as one narrow step; records overlap between runs exactly as
-    separate daily runs would make them.
+    separate daily runs would make them. Records without a readable day go once, with the
+    first run, so that staging can count them.
     """
     offsets = F.sequence(F.lit(0), F.lit(feed.lookback_days))
-    run_days = F.transform(offsets, lambda n: F.date_add(_observation_day(), n))
+    covering = F.transform(offsets, lambda n: F.date_add(_observation_day(), n))
+    run_days = F.when(_observation_day().isNull(), F.array(F.lit(first))).otherwise(covering)
     return records.withColumn("day", F.explode(run_days)).filter(F.col("day").between(first, last))
 
 
@@ -88,12 +92,15 @@ def scan_day(spark: SparkSession, root: str, feed: Feed, run_day: str) -> DataFr
 def read_foreign(spark: SparkSession, paths: Iterable[str], feed: Feed) -> DataFrame:
     """Daily Parquet written elsewhere, where a column's type can differ by day.
 
-    Every path is read with its own schema and cast to text before the union. The plan
-    grows by one scan per path, so give it the days of a run rather than years.
+    Paths of one schema are read by one scan and cast to text before the union, so the plan
+    grows with the number of different schemas, not of days.
     """
+    by_schema: dict[str, list[str]] = {}
+    for path in paths:
+        by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
 
-    def one(path: str) -> DataFrame:
-        rows = spark.read.parquet(path)
+    def one(alike: list[str]) -> DataFrame:
+        rows = spark.read.parquet(*alike)
         return rows.select(
             *(
                 as_text(rows[f"`{f.name}`"], f.dataType).alias(f.name)
@@ -104,5 +111,5 @@ def read_foreign(spark: SparkSession, paths: Iterable[str], feed: Feed) -> DataF
 
     empty = spark.createDataFrame([], feed.raw_schema)
     return reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True), (one(p) for p in paths), empty
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), map(one, by_schema.values()), empty
     )

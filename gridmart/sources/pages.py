@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,24 +38,29 @@ def flatten_pages(pages: DataFrame) -> DataFrame:
     return pages.select(F.explode("response.data").alias("record")).select("record.*")
 
 
-def page_completeness(pages: DataFrame, feed: Feed) -> DataFrame:
+def page_completeness(
+    pages: DataFrame, feed: Feed, expected: tuple[date, date] | None = None
+) -> DataFrame:
     """Records collected against records announced, per run day.
 
-    A request that fails midway leaves fewer rows than announced and no other trace.
+    A request that fails midway leaves fewer rows than announced and no other trace. A page
+    that was landed twice counts once. Days of the ``expected`` range (first, last) without a
+    single page have a row too: nothing collected, nothing announced.
     """
-    return (
-        pages.groupBy("day")
-        .agg(
-            F.sum(F.coalesce(F.array_size("response.data"), F.lit(0))).alias("collected"),
-            F.max(F.col("response.total").try_cast("bigint")).alias("announced"),
-        )
-        .select(
-            F.lit(feed.name).alias("feed"),
-            "day",
-            "collected",
-            "announced",
-            (F.col("announced").isNull() | (F.col("collected") < F.col("announced"))).alias(
-                "is_incomplete"
-            ),
+    one_each = pages.groupBy("day", F.xxhash64(F.to_json("response")).alias("_page")).agg(
+        F.max(F.coalesce(F.array_size("response.data"), F.lit(0))).alias("_rows"),
+        F.max(F.col("response.total").try_cast("bigint")).alias("_total"),
+    )
+    counts = one_each.groupBy("day").agg(
+        F.sum("_rows").cast("bigint").alias("collected"), F.max("_total").alias("announced")
+    )
+    if expected is not None:
+        first, last = (F.lit(day) for day in expected)
+        days = pages.sparkSession.range(1).select(F.explode(F.sequence(first, last)).alias("day"))
+        counts = days.join(counts, "day", "full").withColumn(
+            "collected", F.coalesce("collected", F.lit(0).cast("bigint"))
         )
+    complete = F.col("announced").isNotNull() & (F.col("collected") == F.col("announced"))
+    return counts.select(
+        F.lit(feed.name).alias("feed"), "day", "collected", "announced", (~complete).alias("is_incomplete")
     )

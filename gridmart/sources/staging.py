@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.functions.keys import content_id
-from gridmart.functions.parsing import hour_period
 from gridmart.operators.cleaning import clean
 from gridmart.operators.dedup import (
     KEY_HASH,
@@ -32,23 +33,26 @@ def stage(raw: DataFrame, feed: Feed) -> DataFrame:
     return with_content_id(distinct_observations(clean(raw, feed), feed), feed)
 
 
-def _unseen_observations(raw: DataFrame, stored: DataFrame | None, feed: Feed) -> DataFrame:
+def batch_days(raw: DataFrame, feed: Feed) -> list[date]:
+    """Observation days of the rows that would be staged, one each."""
+    days = clean(raw, feed).select(F.to_date("period").alias("day")).distinct()
+    return sorted(row["day"] for row in days.collect())
+
+
+def _unseen_observations(
+    raw: DataFrame, stored: DataFrame | None, feed: Feed, rejected: Observation | None = None
+) -> DataFrame:
     """Cleaned rows that are not stored yet, one per key, with their ``day``.
 
     The id is a hash of the key columns, so the join compares those: they are a fraction
     of the bytes of the hashed ids, and the batch is already partitioned by them. The key
-    holds the period, so only the stored days the batch spans can match; the scalar bounds
-    prune the stored partitions to these, whatever the table has grown to. They come from
-    a pass over the period column alone.
+    holds the period, so only the stored days that the batch has can match; the list of
+    them prunes the stored partitions to these, whatever the table has grown to and however
+    far apart they lie. It comes from a pass over the required columns alone.
     """
-    batch = distinct_observations(clean(raw, feed), feed, keep_hash=True)
+    batch = distinct_observations(clean(raw, feed, rejected), feed, keep_hash=True)
     if stored is not None:
-        days = raw.select(F.to_date(hour_period(F.col("period"))).alias("day"))
-        near = stored.filter(
-            F.col("day").between(
-                days.agg(F.min("day")).scalar(), days.agg(F.max("day")).scalar()
-            )
-        )
+        near = stored.filter(F.col("day").isin(batch_days(raw, feed)))
         batch = unseen(batch, with_key_hash(near, feed), (KEY_HASH, *feed.key))
     return batch.withColumn("day", F.to_date("period"))
 
@@ -58,13 +62,20 @@ def new_rows(raw: DataFrame, stored: DataFrame | None, feed: Feed) -> DataFrame:
     return with_content_id(_unseen_observations(raw, stored, feed), feed)
 
 
-def append_new(spark: SparkSession, raw: DataFrame, table: Table, feed: Feed) -> None:
+def append_new(
+    spark: SparkSession,
+    raw: DataFrame,
+    table: Table,
+    feed: Feed,
+    rejected: Observation | None = None,
+) -> None:
     """Append the rows not stored yet; running a batch again appends nothing.
 
     That also makes a retried or half-finished run safe to repeat. Two runs on one table
     must not overlap in time: neither would see the other's rows. Ids are added last, so
-    that the shuffle and sort for the file layout do not carry them.
+    that the shuffle and sort for the file layout do not carry them. An ``Observation``
+    counts the rows that cleaning drops, in the same pass.
     """
-    rows = _unseen_observations(raw, table.read_if_any(spark), feed)
+    rows = _unseen_observations(raw, table.read_if_any(spark), feed, rejected)
     laid_out = rows.hint("rebalance", "day").sortWithinPartitions("day", "period")
     table.append(laid_out.withColumn("id", content_id(feed.key)))

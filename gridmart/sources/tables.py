@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import threading
+import uuid
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -10,6 +12,7 @@ from pyspark.sql import types as T
 
 _OVERWRITE = "partitionOverwriteMode"
 _OVERWRITE_SETTING = "spark.sql.sources.partitionOverwriteMode"
+_MODE_LOCK = threading.Lock()
 
 
 @dataclass(frozen=True)
@@ -60,9 +63,32 @@ class Table:
         self._save(self._ordered(rows).write.mode("append"))
 
     def replace(self, rows: DataFrame) -> None:
-        writer = self._ordered(rows).write.mode("overwrite")
-        # In the catalog the table is made anew, and would remember the option.
-        self._save(writer if self.in_catalog else writer.option(_OVERWRITE, "static"))
+        """Write the rows beside the table and put them in its place once they are complete.
+
+        A run that fails leaves the table as it was. Folders change places; in a catalog, where
+        a renamed table can lose sight of its partitions, the stored rows are copied.
+        """
+        spark = rows.sparkSession
+        mark = uuid.uuid4().hex
+        fresh = replace(self, target=f"{self.target}__new_{mark}")
+        fresh._save(self._ordered(rows).write.mode("errorifexists"))
+        if self.in_catalog:
+            self._save(fresh.read(spark).write.mode("overwrite"))
+            spark.sql(f"DROP TABLE {fresh.target}")
+            return
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        files = path(self.target).getFileSystem(spark._jsc.hadoopConfiguration())
+        target, new, old = (path(p) for p in (self.target, fresh.target, f"{self.target}__old_{mark}"))
+        had_one = files.exists(target)
+        if had_one and not files.rename(target, old):
+            raise OSError(f"cannot move {self.target}")
+        if not files.rename(new, target):
+            if had_one:
+                files.rename(old, target)
+            raise OSError(f"cannot move {fresh.target}")
+        if had_one:
+            files.delete(old, True)
+        spark.catalog.refreshByPath(self.target)
 
     def replace_partitions(self, rows: DataFrame) -> None:
         """Overwrite the partitions the rows belong to and leave all others alone."""
@@ -70,11 +96,13 @@ class Table:
         if not self.in_catalog:
             self._save(writer.option(_OVERWRITE, "dynamic"))
             return
-        # Inserts into catalog tables take the mode from the session, not from the writer.
+        # Inserts into catalog tables take the mode from the session, not from the writer. Only one
+        # of a session's threads at a time may set it, else one could restore another's mode early.
         conf = rows.sparkSession.conf
-        before = conf.get(_OVERWRITE_SETTING)
-        conf.set(_OVERWRITE_SETTING, "dynamic")
-        try:
-            writer.insertInto(self.target)
-        finally:
-            conf.set(_OVERWRITE_SETTING, before)
+        with _MODE_LOCK:
+            before = conf.get(_OVERWRITE_SETTING)
+            conf.set(_OVERWRITE_SETTING, "dynamic")
+            try:
+                writer.insertInto(self.target)
+            finally:
+                conf.set(_OVERWRITE_SETTING, before)

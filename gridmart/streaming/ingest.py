@@ -2,27 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from gridmart.operators.cleaning import clean
-from gridmart.operators.dedup import with_content_id
 from gridmart.schemas import Feed
 from gridmart.sources.landing import landed_schema
 from gridmart.sources.staging import append_new
 from gridmart.sources.tables import Table
 
-# Longer than the largest publication lag (two days).
-DUPLICATE_HORIZON = "3 days"
-
 
 def landed_stream(
-    spark: SparkSession, root: str, feed: Feed, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    root: str,
+    feed: Feed,
+    max_files_per_trigger: int | None = None,
+    newest_first: bool = False,
 ) -> DataFrame:
-    reader = spark.readStream.schema(landed_schema(feed))
+    """Landed files as they arrive; ``newest_first`` serves a backlog from its end."""
+    reader = spark.readStream.schema(landed_schema(feed)).option("latestFirst", newest_first)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(f"{root}/{feed.route}").drop("day")
@@ -33,7 +30,9 @@ def start_append(
 ) -> StreamingQuery:
     """Append unseen rows of every micro-batch, then stop when the input is used up.
 
-    A micro-batch that is replayed after a failure finds its rows stored and adds none.
+    Repeats are found among the stored days of a micro-batch, not in a bounded state, so a
+    row is stored once however late it comes. A micro-batch that is replayed after a failure
+    finds its rows stored and adds none.
     """
 
     def append(batch: DataFrame, _: int) -> None:
@@ -45,24 +44,3 @@ def start_append(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def _first_of_each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for rows in batches:
-        yield rows.drop_duplicates("id")
-
-
-def distinct_stream(raw: DataFrame, feed: Feed) -> DataFrame:
-    """Staged rows of a stream without repeats inside the duplicate horizon.
-
-    The state operator moves every row to the task that owns its id and has no partial
-    step, so copies within an Arrow batch are dropped before that shuffle. Rows older
-    than the horizon are dropped as late; the append above has no such limit and stays
-    the guarantee for replays.
-    """
-    staged = with_content_id(clean(raw, feed), feed)
-    return (
-        staged.mapInPandas(_first_of_each, staged.schema)
-        .withWatermark("period", DUPLICATE_HORIZON)
-        .dropDuplicatesWithinWatermark(["id"])
-    )

@@ -64,3 +64,12 @@ def test_every_query_has_sql():
 def test_entry_has_rows(spark):
     row = contract.entry(spark).first()
     assert isinstance(row["full_date"], dt.date)
+
+
+def test_fixed_lists():
+    """The SQL takes these lists from the library: here they are spelled out."""
+    from gridmart.schemas import AGGREGATE_CODES, MIX_TYPE_CODES, TYPES
+
+    assert set(AGGREGATE_CODES) >= {"CAL", "CAR", "CENT", "FLA", "US48"}
+    assert {(i, code) for i, code, _ in TYPES} >= {(1, "D"), (2, "DF"), (3, "FLOW"), (17, "NG"), (19, "NUC"), (-1, "UNK")}
+    assert len(TYPES) == 20 and len(MIX_TYPE_CODES) == 10

@@ -45,15 +45,18 @@ def test_replay_from_the_start_adds_nothing(spark):
         assert staged.read(spark).count() == len(RECORDS)
 
 
-def test_distinct_stream(spark):
-    root, target = new_table_path(spark, "landing"), new_table_path(spark, "target")
-    _land(spark, root, date(2024, 1, 1), date(2024, 1, 5))
-    rows = ingest.distinct_stream(ingest.landed_stream(spark, root, FUEL_TYPE), FUEL_TYPE)
-    (
-        rows.writeStream.option("checkpointLocation", new_table_path(spark, "progress"))
-        .trigger(availableNow=True)
-        .start(target, format="parquet")
-        .awaitTermination()
-    )
-    stored = spark.read.parquet(target)
-    assert stored.count() == stored.select("id").distinct().count() == len(RECORDS)
+def test_late_rows_are_kept_and_repeats_are_not(spark):
+    root, checkpoint = new_table_path(spark, "landing"), new_table_path(spark, "progress")
+    staged = staging.staged_table(new_table_path(spark, "staged"), FUEL_TYPE)
+
+    def arrive(*days):
+        rows = fuel(spark, *[(f"2024-01-{d:02d}T05", "A", "SUN", str(d)) for d in days])
+        first, last = date(2024, 1, 1), date(2024, 1, 25)
+        landing.land(landing.by_run_day(rows, FUEL_TYPE, first, last), root, FUEL_TYPE)
+        stream = ingest.landed_stream(spark, root, FUEL_TYPE, max_files_per_trigger=1, newest_first=True)
+        ingest.start_append(stream, staged, FUEL_TYPE, checkpoint).awaitTermination()
+
+    arrive(21)
+    arrive(1, 22)
+    stored = rows_of(staged.read(spark).selectExpr("day(period) AS day"))
+    assert stored == [(1,), (21,), (22,)]
