@@ -14,20 +14,19 @@ import base64
 import hashlib
 from array import array
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gridmart.llm.common import id_and_text, map_batches
+from gridmart.llm.common import id_and_text, map_batches, worker_state
 from gridmart.llm.words import WordCache
 
 RANKS = "byte_bpe_50k.tiktoken"
-PAIR_LIMIT = 500_000
-PIECE_LIMIT = 400_000
+PAIR_LIMIT = 300_000
+PIECE_LIMIT = 150_000
 LONGEST_KEPT = 100
 
-_workers: dict[object, tuple] = {}
-
 
 def read_ranks(path: str | None) -> dict[bytes, int]:
     if path is None:
@@ -152,7 +151,7 @@ class TextEncoder:
         self._encoder = BytePairEncoder(read_ranks(path))
         tokens = self._encoder.token
         self._token = [tokens.get(rank, b"") for rank in range(max(tokens) + 1)]
-        self._words = WordCache(lambda words: [self._whole(word) for word in words], " ")
+        self._words = WordCache(self._whole, " ")
         self._kept: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
@@ -179,6 +178,34 @@ class TextEncoder:
         return b"".join(map(self._token.__getitem__, memoryview(ids).cast("I")))
 
 
+def _encode_batches(
+    batches: Iterator[pa.RecordBatch], path: str | None, pattern: str | None, keep: bool
+) -> Iterator[pa.RecordBatch]:
+    encoder = worker_state(("byte pairs", path, pattern), lambda: TextEncoder(path, pattern))
+    for batch in batches:
+        counts, id_digests, text_digests, kept_ids, kept_texts = [], [], [], [], []
+        for text in batch.column("text").to_pylist():
+            ids = encoder.encode(text or "")
+            decoded = encoder.decode(ids)
+            counts.append(len(ids) // 4)
+            id_digests.append(hashlib.sha256(ids).hexdigest())
+            text_digests.append(hashlib.sha256(decoded).hexdigest())
+            if keep:
+                kept_ids.append(ids)
+                kept_texts.append(decoded.decode("utf-8"))
+        columns = [
+            batch.column("doc_id"),
+            pa.array(counts, pa.int64()),
+            pa.array(id_digests, pa.string()),
+            pa.array(text_digests, pa.string()),
+        ]
+        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        if keep:
+            columns += [pa.array(kept_ids, pa.binary()), pa.array(kept_texts, pa.string())]
+            names += ["ids", "decoded"]
+        yield pa.RecordBatch.from_arrays(columns, names)
+
+
 def encode_decode(
     documents: DataFrame,
     id_column: str = "doc_id",
@@ -195,36 +222,7 @@ def encode_decode(
     read. Texts in which a space adjoins other white space are split as a whole.
     """
     texts = id_and_text(documents, id_column, text_column)
-    key = (path, pattern)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _workers:
-            _workers.clear()
-            _workers[key] = TextEncoder(path, pattern)
-        encoder = _workers[key]
-        for batch in batches:
-            counts, id_digests, text_digests, kept_ids, kept_texts = [], [], [], [], []
-            for text in batch.column("text").to_pylist():
-                ids = encoder.encode(text or "")
-                decoded = encoder.decode(ids)
-                counts.append(len(ids) // 4)
-                id_digests.append(hashlib.sha256(ids).hexdigest())
-                text_digests.append(hashlib.sha256(decoded).hexdigest())
-                if keep:
-                    kept_ids.append(ids)
-                    kept_texts.append(decoded.decode("utf-8"))
-            columns = [
-                batch.column("doc_id"),
-                pa.array(counts, pa.int64()),
-                pa.array(id_digests, pa.string()),
-                pa.array(text_digests, pa.string()),
-            ]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if keep:
-                columns += [pa.array(kept_ids, pa.binary()), pa.array(kept_texts, pa.string())]
-                names += ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
     id_type = texts.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    run = partial(_encode_batches, path=path, pattern=pattern, keep=keep)
     return map_batches(texts, run, schema + (", ids binary, decoded string" if keep else ""))

@@ -19,6 +19,9 @@ from gridmart.session import new_table_path
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2_000
+
 _shipped: set[str] = set()
 
 
@@ -53,10 +56,25 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(application)
 
 
+_state: dict[object, object] = {}
+
+
+def worker_state(key: object, make: Callable[[], object]) -> object:
+    """What a Python worker keeps between tasks: that of the operator it last worked for."""
+    if key not in _state:
+        _state.clear()
+        _state[key] = make()
+    return _state[key]
+
+
 def map_batches(
     frame: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    ship_package(frame.sparkSession)
+    spark = frame.sparkSession
+    ship_package(spark)
+    # Whole texts are long rows: fewer of them at a time bound what a worker holds.
+    if int(spark.conf.get(BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     return frame.mapInArrow(function, schema)
 
 

@@ -18,7 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import map_batches
+from gridmart.llm.common import map_batches, worker_state
 
 DICTIONARY_BYTES = 128_000
 TRAINING_ROWS = 400
@@ -28,8 +28,6 @@ MARGIN = 0.01
 SHARPNESS = 40.0
 UNKNOWN = "und"
 
-_workers: dict[object, list] = {}
-
 
 def held_out(id_column: Column) -> Column:
     """Documents that are never learnt from: a fifth, by the checksum of the id as text."""
@@ -113,10 +111,7 @@ class Classifier:
 def _classify_batches(
     batches: Iterator[pa.RecordBatch], key: tuple, margin: float, shared: Broadcast, passed: list[str]
 ) -> Iterator[pa.RecordBatch]:
-    if key not in _workers:
-        _workers.clear()
-        _workers[key] = Classifier(shared.value, margin=margin)
-    classifier = _workers[key]
+    classifier = worker_state(key, lambda: Classifier(shared.value, margin=margin))
     for batch in batches:
         found = [classifier.classify(text) for text in batch.column("text").to_pylist()]
         columns = [batch.column(c) for c in passed]

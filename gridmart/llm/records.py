@@ -10,11 +10,12 @@ number of ids (two unsigned 64-bit numbers), so that a reader can visit records
 from __future__ import annotations
 
 import os
+import string
 import struct
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import map_batches, stored
+from gridmart.llm.common import map_batches, stored, worker_state
 from gridmart.llm.words import WordCache
 from gridmart.session import new_table_path
 
@@ -34,12 +35,11 @@ CHECK = struct.Struct("<I")
 HEAD = struct.Struct("<BqB")
 ENTRY = struct.Struct("<QQ")
 BUFFER_BYTES = 4 << 20
+MARKS = string.punctuation
 RESULT_ROWS = 10_000
 
 MANIFEST = pa.schema([("part", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
-_workers: dict[object, object] = {}
-
 
 class Record(NamedTuple):
     doc_id: int | None
@@ -119,18 +119,23 @@ class IdEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self.code = "H" if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
         self._words = WordCache(self._encode, " ")
+        self._marks = lru_cache(10_000)(self._whole)
+
+    def _encode(self, text: str) -> bytes:
+        # Marks behind a letter are a piece of their own: the word before them is often known.
+        body = text.rstrip(MARKS)
+        if text[0] == " " and len(body) < len(text) and body[-1].isalpha() and body[1].isalpha() and "<" not in text:
+            return self._words.word(body[1:]) + self._marks(text[len(body) :])
+        return self._whole(text)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [
-            array(self.code, e.ids).tobytes()
-            for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ]
+    def _whole(self, text: str) -> bytes:
+        return array(self.code, self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         values = self._words.values(text)
-        return self._encode([text])[0] if values is None else b"".join(values)
+        return self._whole(text) if values is None else b"".join(values)
 
 
 def _write(
@@ -141,10 +146,7 @@ def _write(
     target = index = None
     offset = n_docs = n_ids = 0
     for batch in batches:
-        if path not in _workers:
-            _workers.clear()
-            _workers[path] = IdEncoder(path)
-        encoder = _workers[path]
+        encoder = worker_state(("token ids", path), lambda: IdEncoder(path))
         width = array(encoder.code).itemsize
         end = array(encoder.code, [end_id]).tobytes()
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):

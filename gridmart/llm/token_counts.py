@@ -8,14 +8,17 @@ it meets. No word is shuffled but the few most frequent of each task.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import id_and_text, map_batches
+from gridmart.llm.common import id_and_text, map_batches, worker_state
 from gridmart.llm.words import WordCache
 
 MODEL = "piece_bpe_32k.model"
@@ -24,8 +27,6 @@ TASK_WORDS = 4_096
 COUNTED_WORDS = 300_000
 LONGEST_SHARED = 40
 
-_workers: dict[object, tuple] = {}
-
 
 def model_path(path: str | None) -> str:
     if path is not None:
@@ -45,6 +46,42 @@ def _lengths(processor, words: list[str]) -> list[int]:
     return [len(ids) for ids in processor.encode(words, num_threads=1)] if words else []
 
 
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: Counter[str] = Counter()
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            counts.update((text or "").split(" "))
+            if len(counts) > COUNTED_WORDS:
+                counts = Counter({w: n for w, n in counts.items() if n > 1})
+    top = [(w, n) for w, n in counts.most_common(TASK_WORDS) if n > 1 and 0 < len(w) <= LONGEST_SHARED]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["word", "n"]
+    )
+
+
+def _counter(path: str | None, known: dict[str, int]) -> tuple:
+    model = _processor(path)
+    return model, WordCache(lambda word: len(model.encode(word)), "", known)
+
+
+def _count_tokens(
+    batches: Iterator[pa.RecordBatch], key: tuple, path: str | None, shared: Broadcast
+) -> Iterator[pa.RecordBatch]:
+    model, cache = worker_state(key, lambda: _counter(path, shared.value))
+    for batch in batches:
+        counts = []
+        for text in batch.column("text").to_pylist():
+            if not text:
+                counts.append(0)
+                continue
+            values = cache.values(text)
+            counts.append(len(model.encode(text)) if values is None else sum(values))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64())],
+            ["doc_id", "n_bytes", "n_tokens"],
+        )
+
+
 def frequent_words(texts: DataFrame, table_words: int = TABLE_WORDS) -> list[str]:
     """The words with the largest counts over all texts, counted inside the tasks.
 
@@ -52,19 +89,7 @@ def frequent_words(texts: DataFrame, table_words: int = TABLE_WORDS) -> list[str
     can only change which words are shared, never a count of tokens.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                counts.update((text or "").split(" "))
-                if len(counts) > COUNTED_WORDS:
-                    counts = Counter({w: n for w, n in counts.items() if n > 1})
-        top = [(w, n) for w, n in counts.most_common(TASK_WORDS) if n > 1 and 0 < len(w) <= LONGEST_SHARED]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["word", "n"]
-        )
-
-    counted = map_batches(texts.select("text"), count, "word string, n bigint")
+    counted = map_batches(texts.select("text"), _count_words, "word string, n bigint")
     top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(table_words)
     return [row["word"] for row in top.collect()]
 
@@ -88,30 +113,11 @@ def count_tokens(
     processor = _processor(path)
     words = [w for w in frequent_words(texts, table_words) if "▁" not in w and not w[0].isspace() and not w[-1].isspace()]
     shared = spark.sparkContext.broadcast(dict(zip(words, _lengths(processor, words), strict=True)))
-    key = (spark.sparkContext.applicationId, shared.id if hasattr(shared, "id") else shared._jbroadcast.id(), path)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _workers:
-            model = _processor(path)
-            _workers.clear()
-            _workers[key] = model, WordCache(lambda ws: _lengths(model, ws), "", shared.value)
-        model, cache = _workers[key]
-        for batch in batches:
-            counts = []
-            for text in batch.column("text").to_pylist():
-                if not text:
-                    counts.append(0)
-                    continue
-                values = cache.values(text)
-                counts.append(len(model.encode(text)) if values is None else sum(values))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts, pa.int64())],
-                ["doc_id", "n_bytes", "n_tokens"],
-            )
+    key = (spark.sparkContext.applicationId, uuid.uuid4().hex)
 
     sized = texts.select(
         "doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes")
     )
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    counted = map_batches(sized, count, f"doc_id {id_type}, n_bytes bigint, n_tokens bigint")
+    counted = map_batches(sized, partial(_count_tokens, key=key, path=path, shared=shared), f"doc_id {id_type}, n_bytes bigint, n_tokens bigint")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
