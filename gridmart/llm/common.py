@@ -73,7 +73,7 @@ def map_batches(
     spark = frame.sparkSession
     ship_package(spark)
     # Whole texts are long rows: fewer of them at a time bound what a worker holds.
-    if int(spark.conf.get(BATCH_SETTING)) > BATCH_ROWS:
+    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
         spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     return frame.mapInArrow(function, schema)
 

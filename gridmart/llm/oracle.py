@@ -47,4 +47,38 @@ SELECT s.doc_id, s.size, s.source_size, s.target, coalesce(t.copies, 0)::INTEGER
 FROM served s LEFT JOIN taken t USING (place, row_key, n)
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_mixing": MIXING}
+JACCARD = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS MATERIALIZED (
+  SELECT doc_id, CASE
+      WHEN len(w) = 0 THEN []
+      WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+      ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])
+    END AS shingles
+  FROM split
+), sizes AS MATERIALIZED (
+  SELECT doc_id, len(shingles)::BIGINT AS n FROM sets
+), tokens AS MATERIALIZED (
+  SELECT doc_id, unnest(shingles) AS token FROM sets
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 90 * (x.n + y.n - c)
+), near AS MATERIALIZED (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sizes
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN near l ON r.other = l.a
+)
+SELECT doc_id, n AS n_shingles, (SELECT min(other) FROM reached r WHERE r.doc_id = s.doc_id) AS component_id
+FROM sizes s
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_ngram_jaccard": JACCARD, "op9_mixing": MIXING}
