@@ -26,6 +26,7 @@ if it can be near one of the root's sets by the triangle inequality of the Jacca
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -33,16 +34,18 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import map_batches, stored
+from gridmart.llm.common import map_batches, ship_package, stored, worker_state
 from gridmart.llm.components import connected_components
 
-SKETCH_BITS = 20
-SKETCH_PARTS = 64
+SKETCH_BITS = 22
+SKETCH_PARTS = 256
 NEAR_PERCENT = 50
 OUT_ROWS = 50_000
+OUTLIER_BLOCK = 2_048
+SET_BLOCK = 8_192
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -86,7 +89,8 @@ def _identity(tokens: np.ndarray) -> tuple[int, int]:
 
 def _describe(batches: Iterator[pa.RecordBatch], words_each: int) -> Iterator[pa.RecordBatch]:
     """A row for each document with its set's size and identity; then the task's token counts."""
-    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+    worker_state("jaccard", dict)
+    counts = np.zeros(1 << SKETCH_BITS, np.uint32)
     for batch in batches:
         sizes, first, second = [], [], []
         for text in batch.column("text").to_pylist():
@@ -106,7 +110,7 @@ def _describe(batches: Iterator[pa.RecordBatch], words_each: int) -> Iterator[pa
             DESCRIBED,
         )
     if counts.any():
-        parts = counts.astype(np.uint32).reshape(SKETCH_PARTS, -1)
+        parts = counts.reshape(SKETCH_PARTS, -1)
         used = [i for i in range(SKETCH_PARTS) if parts[i].any()]
         n = len(used)
         yield pa.RecordBatch.from_arrays(
@@ -136,7 +140,7 @@ def _sketch(described: DataFrame) -> np.ndarray:
     """Counts of all tokens of the corpus, by the first bits of their hashes."""
     parts = described.filter(F.col("part").isNotNull()).select("part", "counts").repartition("part")
     counts = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.int64)
-    for row in map_batches(parts, _add_counts, "part int, counts binary").collect():  # 8 MB at most
+    for row in map_batches(parts, _add_counts, "part int, counts binary").collect():  # 8 bytes << SKETCH_BITS
         counts[row["part"]] += np.frombuffer(zlib.decompress(row["counts"]), np.int64)
     return np.minimum(counts.ravel(), np.iinfo(np.uint32).max).astype(np.uint32)
 
@@ -144,7 +148,7 @@ def _sketch(described: DataFrame) -> np.ndarray:
 def _prefixes(
     batches: Iterator[pa.RecordBatch], words_each: int, percent: int, shared: Broadcast
 ) -> Iterator[pa.RecordBatch]:
-    """The index entries of every set: token, identity, size and position in the common order."""
+    """The index entries of every set: token, half its identity, size and position in the common order."""
     counts = shared.value
     shift = np.uint64(64 - SKETCH_BITS)
     rows: list[tuple] = []
@@ -157,7 +161,7 @@ def _prefixes(
                 continue
             length = n - (percent * n + 99) // 100 + 1
             order = np.argsort(counts[(tokens >> shift).astype(np.int64)], kind="stable")[:length]
-            rows.append((_signed(tokens[order]), *_identity(tokens), n))
+            rows.append((_signed(tokens[order]), _identity(tokens)[0], n))
             held += length
             if held >= OUT_ROWS:
                 yield _entries(rows)
@@ -172,27 +176,31 @@ def _entries(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.concatenate([tokens for tokens, *_ in rows])),
-            spread([r[1] for r in rows], np.int64), spread([r[2] for r in rows], np.int64),
-            spread([r[3] for r in rows], np.int32),
+            spread([r[1] for r in rows], np.int64), spread([r[2] for r in rows], np.int32),
             pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in lengths])),
         ],
-        ["token", "c1", "c2", "n", "pos"],
+        ["token", "c1", "n", "pos"],
     )
 
 
-def _sets(batches: Iterator[pa.RecordBatch], words_each: int) -> Iterator[pa.RecordBatch]:
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compressed texts: they take less than half of their sets' room, and give the sets again."""
     for batch in batches:
-        sets = [shingle_set(text, words_each).tobytes() for text in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "tokens"])
+        packed = [zlib.compress(text.encode("utf-8"), 1) for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(packed, pa.binary())], ["node", "packed"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch], percent: int, near: int) -> Iterator[pa.RecordBatch]:
+def _unpacked(packed: bytes, words_each: int) -> np.ndarray:
+    return shingle_set(zlib.decompress(packed).decode("utf-8"), words_each)
+
+
+def _compare(batches: Iterator[pa.RecordBatch], words_each: int, percent: int, near: int) -> Iterator[pa.RecordBatch]:
     """Differences of a set to a root: root_size, cost and the tokens in which they differ, null where the
     similarity is below ``near`` percent."""
     for batch in batches:
         sizes, costs, differences = [], [], []
         for own, root in zip(batch.column("own").to_pylist(), batch.column("other").to_pylist(), strict=True):
-            a, b = np.frombuffer(own, np.uint64), np.frombuffer(root, np.uint64)
+            a, b = _unpacked(own, words_each), _unpacked(root, words_each)
             common = np.intersect1d(a, b, assume_unique=True)
             missing, added = len(b) - len(common), len(a) - len(common)
             sizes.append(len(b))
@@ -210,12 +218,40 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int, near: int) -> Iter
         )
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, percent: int, near: int) -> DataFrame:
-    own = sets.select("node", F.col("tokens").alias("own"))
-    other = sets.select(F.col("node").alias("root"), F.col("tokens").alias("other"))
+def _compared(pairs: DataFrame, sets: DataFrame, words_each: int, percent: int, near: int) -> DataFrame:
+    own = sets.select("node", F.col("packed").alias("own"))
+    other = sets.select(F.col("node").alias("root"), F.col("packed").alias("other"))
     both = pairs.select("node", "root").join(own, "node").join(other, "root")
     schema = "node bigint, root bigint, root_size bigint, cost bigint, differs array<bigint>"
-    return map_batches(both, partial(_compare, percent=percent, near=near), schema)
+    return map_batches(both, partial(_compare, words_each=words_each, percent=percent, near=near), schema)
+
+
+def _could_link(n: str, rest: Column, least: str, most: str, most_rest: str, percent: int) -> Column:
+    """Whether a set could reach the overlap with some set of a block: of sizes from ``least`` to ``most`` and
+    with ``most_rest`` tokens at most from their positions on."""
+    size, low, high = F.col(n), F.col(least), F.col(most)
+    partner = F.greatest(low, F.ceil(size * percent / 100))
+    overlap = F.ceil((size + partner) * percent / (100 + percent))
+    fits = (high * 100 >= size * percent) & (size * 100 >= low * percent)
+    return fits & (F.least(rest, F.col(most_rest)) >= overlap)
+
+
+def _alive(entries: DataFrame, percent: int) -> DataFrame:
+    """The entries that some other set of their list could pair with.
+
+    A list is cut in blocks of similar sizes; partners are in the set's own block or a neighbour.
+    """
+    step = math.log(100 / percent) * 1.0001 if percent < 100 else 1e-9
+    rest = F.col("n") - F.col("pos")
+    banded = entries.withColumn("band", F.floor(F.log("n") / step))
+    blocks = banded.groupBy("token", F.col("band").alias("near")).agg(
+        F.min("c1").alias("first"), F.max("c1").alias("last"),
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max(rest).alias("most_rest"),
+    )
+    probes = banded.withColumn("near", F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])))
+    met = probes.join(blocks, ["token", "near"]).filter((F.col("first") != F.col("c1")) | (F.col("last") != F.col("c1")))
+    met = met.filter(_could_link("n", rest, "least", "most", "most_rest", percent))
+    return met.select("token", "c1", "n", "pos").distinct()
 
 
 def _roots(entries: DataFrame) -> DataFrame:
@@ -245,13 +281,10 @@ def _guests(entries: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     blocks = rooted.groupBy("token", F.col("root").alias("block")).agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.max(rest).alias("most_rest")
     )
-    partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
-    overlap = F.ceil((F.col("n") + partner) * percent / (100 + percent))
     return (
         rooted.join(blocks, "token")
         .filter(F.col("block") < F.col("root"))
-        .filter((F.col("most") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("least") * percent))
-        .filter(F.least(rest, F.col("most_rest")) >= overlap)
+        .filter(_could_link("n", rest, "least", "most", "most_rest", percent))
         .select("node", F.col("block").alias("root"))
         .distinct()
     )
@@ -261,30 +294,69 @@ def _derived(around: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) of the sets around common roots, from their differences alone."""
     limit = (100 - percent) * F.col("root_size")
     direct = around.filter(F.col("cost") <= limit).select(F.col("node").alias("a"), F.col("root").alias("b"))
-    outliers = around.withColumn("over", F.col("cost") - limit).filter("over > 0")
-    outliers = outliers.withColumn("shared_least", F.ceil(F.col("over") / 100).cast("int"))
-    outliers = outliers.filter(F.size("differs") >= F.col("shared_least"))
     tokens = around.select("root", F.explode("differs").alias("token"))
-    counts = tokens.groupBy("root", "token").agg(F.count("*").alias("times")).filter("times > 1")
-    # Tokens that no other set differs in cannot be shared: the lookup leaves them out, and a
-    # set's rarest ones first, as many as it can do without.
-    listed = outliers.select("root", "node", "shared_least", F.explode("differs").alias("token")).join(counts, ["root", "token"])
-    listed = listed.groupBy("root", "node", "shared_least").agg(F.sort_array(F.collect_list(F.struct("times", "token"))).alias("listed"))
-    listed = listed.filter(F.size("listed") >= F.col("shared_least"))
-    probes = listed.select(
-        "root", F.col("node").alias("outlier"), "shared_least",
-        F.explode(F.slice("listed", F.lit(1), F.size("listed") - F.col("shared_least") + 1)).alias("entry"),
-    ).select("root", "outlier", "shared_least", F.col("entry.token").alias("token"))
-    members = around.select("root", "node", F.size("differs").alias("width"), F.explode("differs").alias("token"))
-    pairs = probes.join(members, ["root", "token"]).filter(
-        (F.col("node") != F.col("outlier")) & (F.col("width") >= F.col("shared_least"))
-    ).select("root", "outlier", "node").distinct()
-    own = around.select("root", "node", "cost", "differs", "root_size")
-    left = own.select("root", F.col("node").alias("outlier"), F.col("cost").alias("outlier_cost"), F.col("differs").alias("outlier_differs"))
-    judged = pairs.join(left, ["root", "outlier"]).join(own, ["root", "node"])
-    shared = F.size(F.array_intersect("differs", "outlier_differs"))
-    linked = judged.filter((100 + percent) * shared >= F.col("cost") + F.col("outlier_cost") - limit)
-    return direct.unionByName(linked.select(F.col("outlier").alias("a"), F.col("node").alias("b")))
+    counts = tokens.groupBy("root", "token").agg(F.count("*").alias("times")).filter("times > 1").select("root", "token")
+    # Tokens that no other set differs in cannot be shared.
+    outliers = around.withColumn("least", F.ceil((F.col("cost") - limit) / 100).cast("int")).filter("least > 0")
+    listed = outliers.select("root", "node", "cost", "least", F.explode("differs").alias("token")).join(counts, ["root", "token"])
+    listed = listed.groupBy("root", "node", "cost", "least").agg(F.collect_list("token").alias("differs"))
+    listed = stored(listed.filter(F.size("differs") >= F.col("least")), "jaccard-outliers")
+    # Blocks of outliers meet blocks of sets of the same root.
+    asking = listed.groupBy("root").agg(F.ceil(F.count("*") / OUTLIER_BLOCK).cast("int").alias("cuts"))
+    held = around.groupBy("root").agg(F.ceil(F.count("*") / SET_BLOCK).cast("int").alias("set_cuts"))
+    cuts = asking.join(held, "root")
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = listed.join(cuts, "root").withColumn("cut", own("cuts")).withColumn("set_cut", every("set_cuts"))
+    right = around.join(cuts, "root").withColumn("set_cut", own("set_cuts")).withColumn("cut", every("cuts"))
+    keys = ["root", "cut", "set_cut"]
+    ship_package(around.sparkSession)
+    found = (
+        left.select(*keys, "node", "cost", "differs").groupBy(*keys)
+        .cogroup(right.select(*keys, "node", "cost", "root_size", "differs").groupBy(*keys))
+        .applyInArrow(partial(_block_links, percent=percent), "a bigint, b bigint")
+    )
+    return direct.unionByName(found)
+
+
+def _block_links(key: tuple, outliers: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
+    """Enough links between the outliers and the sets of a block to connect all that link.
+
+    Shared difference tokens are counted by their lists of sets; sets that link to the root stand for
+    it. A link that joins what is joined already is left out, so that there are fewer than
+    outliers and sets together.
+    """
+    edges: list[tuple[int, int]] = []
+    if len(outliers) and len(sets):
+        root = key[0].as_py()
+        node, cost = sets["node"].to_numpy(), sets["cost"].to_numpy()
+        limit = (100 - percent) * sets["root_size"][0].as_py()
+        differs = sets["differs"].combine_chunks()
+        order = np.argsort(tokens := differs.flatten().to_numpy(), kind="stable")
+        holder = np.repeat(np.arange(len(node)), np.diff(differs.offsets.to_numpy()))[order]
+        tokens = tokens[order]
+        home: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (above := home.get(x, x)) != x:
+                home[x] = home.get(above, above)
+                x = home[x]
+            return x
+
+        for name, own_cost, own in zip(outliers["node"].to_pylist(), outliers["cost"].to_pylist(), outliers["differs"].to_pylist(), strict=True):
+            own = np.array(own, np.int64)
+            starts, ends = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
+            shared = np.bincount(np.concatenate([holder[a:b] for a, b in zip(starts, ends)]), minlength=len(node))
+            linked = (shared > 0) & ((100 + percent) * shared >= cost + own_cost - limit) & (node != name)
+            others = node[linked & (cost > limit)].tolist()
+            if (linked & (cost <= limit)).any():
+                others.append(root)
+            for other in others:
+                x, y = top(name), top(other)
+                if x != y:
+                    home[x] = y
+                    edges.append((name, other))
+    return pa.table({"a": pa.array([a for a, _ in edges], pa.int64()), "b": pa.array([b for _, b in edges], pa.int64())})
 
 
 def _classes(
@@ -305,26 +377,31 @@ def _classes(
 
     prefixes = map_batches(
         texts.select("text"), partial(_prefixes, words_each=words_each, percent=percent, shared=shared),
-        "token bigint, c1 bigint, c2 bigint, n int, pos int",
+        "token bigint, c1 bigint, n int, pos int",
     )
     lists = prefixes.groupBy("token").agg(F.min("c1").alias("a"), F.max("c1").alias("b")).filter("a < b").select("token")
-    entries = prefixes.join(lists, "token").groupBy("token", "c1", "c2").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
-    entries = stored(entries, "jaccard-entries")
-    nodes = stored(entries.select("c1", "c2").distinct().withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
-    entries = stored(entries.join(nodes, ["c1", "c2"]).select("token", "node", "n", "pos"), "jaccard-index")
+    entries = prefixes.join(lists, "token").groupBy("token", "c1").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
+    entries = stored(_alive(stored(entries, "jaccard-entries"), percent), "jaccard-alive")
+    # Where sets share the half, each gets the entries of all of them: more to compare, none lost.
+    nodes = described.join(entries.select("c1").distinct(), "c1").select("c1", "c2", "n").distinct()
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
+    entries = entries.drop("n").join(nodes, "c1").select("token", "node", "n", "pos")
+    entries = stored(entries, "jaccard-index")
 
     source = described.join(nodes, ["c1", "c2"]).groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("of"))
     source = source.select("node", F.col("of.doc_id").alias("of_id"), F.col("of.text_hash").alias("text_hash"))
+    # Of a side that grows with the input no size is known: merged alike at every size.
+    source = source.hint("merge")
     source = keyed.join(source, (keyed["text_hash"] == source["text_hash"]) & keyed["doc_id"].eqNullSafe(source["of_id"]))
-    sets = map_batches(source.select("node", "text"), partial(_sets, words_each=words_each), "node bigint, tokens binary")
+    sets = map_batches(source.select("node", "text"), _packed, "node bigint, packed binary")
     sets = stored(sets.dropDuplicates(["node"]), "jaccard-sets")
 
     roots = _roots(entries)
-    own = stored(_compared(roots.filter("node != root"), sets, percent, NEAR_PERCENT), "jaccard-own")
+    own = stored(_compared(roots.filter("node != root"), sets, words_each, percent, NEAR_PERCENT), "jaccard-own")
     far = own.filter(F.col("differs").isNull()).select("node", F.lit(True).alias("far"))
     roots = roots.join(far, "node", "left").select("node", F.when(F.col("far"), F.col("node")).otherwise(F.col("root")).alias("root"))
     roots = stored(roots, "jaccard-roots")
-    guests = _compared(_guests(entries, roots, percent), sets, percent, NEAR_PERCENT - (100 - percent))
+    guests = _compared(_guests(entries, roots, percent), sets, words_each, percent, NEAR_PERCENT - (100 - percent))
     around = own.unionByName(guests).filter(F.col("differs").isNotNull())
     around = stored(around, "jaccard-around")
     found = connected_components(_derived(around, percent))
