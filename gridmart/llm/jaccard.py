@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from gridmart.llm.common import map_batches, ship_package, stored, worker_state
 from gridmart.llm.components import connected_components
 
-SKETCH_BITS = 22
+SKETCH_BITS = 23
 SKETCH_PARTS = 256
 NEAR_PERCENT = 50
 OUT_ROWS = 50_000
@@ -254,6 +254,14 @@ def _alive(entries: DataFrame, percent: int) -> DataFrame:
     return met.select("token", "c1", "n", "pos").distinct()
 
 
+def _sized(pairs: DataFrame, nodes: DataFrame, near: int) -> DataFrame:
+    """The pairs whose sizes alone do not rule out a similarity of ``near`` percent."""
+    size = lambda name, alias: nodes.select(F.col("node").alias(name), F.col("n").alias(alias))
+    sized = pairs.join(size("node", "own_n"), "node").join(size("root", "root_n"), "root")
+    fits = F.least("own_n", "root_n") * 100 >= F.greatest("own_n", "root_n") * near
+    return sized.filter(fits).select("node", "root")
+
+
 def _roots(entries: DataFrame) -> DataFrame:
     """(node, root): from each set to the one in most lists that it meets most often, and on from there.
 
@@ -379,7 +387,13 @@ def _classes(
         texts.select("text"), partial(_prefixes, words_each=words_each, percent=percent, shared=shared),
         "token bigint, c1 bigint, n int, pos int",
     )
-    lists = prefixes.groupBy("token").agg(F.min("c1").alias("a"), F.max("c1").alias("b")).filter("a < b").select("token")
+    lists = prefixes.groupBy("token").agg(
+        F.min("c1").alias("a"), F.max("c1").alias("b"), F.count("*").alias("times"),
+        F.min("n").alias("least"), F.max("n").alias("most"),
+    )
+    # Lists of one set go, and those of two whose sizes are too far apart.
+    lists = lists.filter("a < b").filter((F.col("times") > 2) | (F.col("least") * 100 >= F.col("most") * percent))
+    lists = lists.select("token")
     entries = prefixes.join(lists, "token").groupBy("token", "c1").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
     entries = stored(_alive(stored(entries, "jaccard-entries"), percent), "jaccard-alive")
     # Where sets share the half, each gets the entries of all of them: more to compare, none lost.
@@ -397,12 +411,16 @@ def _classes(
     sets = stored(sets.dropDuplicates(["node"]), "jaccard-sets")
 
     roots = _roots(entries)
-    own = stored(_compared(roots.filter("node != root"), sets, words_each, percent, NEAR_PERCENT), "jaccard-own")
-    far = own.filter(F.col("differs").isNull()).select("node", F.lit(True).alias("far"))
-    roots = roots.join(far, "node", "left").select("node", F.when(F.col("far"), F.col("node")).otherwise(F.col("root")).alias("root"))
+    pairs = _sized(roots.filter("node != root"), nodes, NEAR_PERCENT)
+    own = _compared(pairs, sets, words_each, percent, NEAR_PERCENT).filter(F.col("differs").isNotNull())
+    own = stored(own, "jaccard-own")
+    near = own.select("node", F.lit(True).alias("near"))
+    roots = roots.join(near, "node", "left").select("node", F.when(F.col("near"), F.col("root")).otherwise(F.col("node")).alias("root"))
     roots = stored(roots, "jaccard-roots")
-    guests = _compared(_guests(entries, roots, percent), sets, words_each, percent, NEAR_PERCENT - (100 - percent))
-    around = own.unionByName(guests).filter(F.col("differs").isNotNull())
+    near_guests = NEAR_PERCENT - (100 - percent)
+    pairs = _sized(_guests(entries, roots, percent), nodes, near_guests)
+    guests = _compared(pairs, sets, words_each, percent, near_guests)
+    around = own.unionByName(guests.filter(F.col("differs").isNotNull()))
     around = stored(around, "jaccard-around")
     found = connected_components(_derived(around, percent))
 
