@@ -1,7 +1,8 @@
 """Nearest neighbours by largest inner product, with multiprobe p-stable hashing.
 
-Largest inner products become smallest distances: vectors are divided by the largest norm and
-lifted onto the unit sphere by one more component, queries are scaled to length one. A table
+Largest inner products become smallest distances: vectors are divided by the top of their range of norms
+(the largest norm, its half, its quarter and so on, so that one long vector does not press all others
+together) and lifted onto the unit sphere by one more component, queries are scaled to length one. A table
 hashes a vector to the cell of a grid, ``floor((a.x + b) / width)`` for ``n_hashes`` random directions. A
 query visits its own cell and then its neighbours, in the order in which they are expected to hold
 near vectors: directions are ranked by the query's distance to the cell wall, and perturbations
@@ -13,6 +14,7 @@ query's best; the candidates of all tables are merged and ranked by exact inner
 
 Every vector is in every table. ``N_TABLES``, ``N_HASHES``, ``WIDTH`` and ``N_PROBES`` are set for a
 recall of over 0.9 on vectors without much structure, where this takes more than half of all vectors as candidates.
+A query that finds fewer than ``k`` vectors there, or than there are, is compared with every vector.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ SEED = 2
 BLOCK_VECTORS = 16_384
 BLOCK_QUERIES = 4_096
 SPARE = 12
+SCORES_AT_ONCE = 1 << 22
 DECIMALS = 12
 
 
@@ -108,10 +111,16 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.asarray(flat.to_numpy(zero_copy_only=False), np.float64).reshape(-1, dim)
 
 
+def _range_top(norms: np.ndarray, longest: float) -> np.ndarray:
+    """The largest norm halved as often as it stays at or above the vector's own."""
+    return longest * 2.0 ** -np.maximum(0.0, np.floor(np.log2(longest / norms)))
+
+
 def _hash_vectors(batches: Iterator[pa.RecordBatch], dim: int, longest: float, n_blocks: int, settings: tuple) -> Iterator[pa.RecordBatch]:
     tables = Tables(dim, *settings)
     for batch in batches:
-        points = _matrix(batch.column("vector"), dim) / longest
+        points = _matrix(batch.column("vector"), dim)
+        points = points / _range_top(np.linalg.norm(points, axis=1), longest)[:, None]
         lift = np.sqrt(np.maximum(0.0, 1.0 - (points**2).sum(axis=1)))
         points = np.column_stack([points, lift])
         for table in range(settings[0]):
@@ -150,8 +159,14 @@ def _hash_queries(batches: Iterator[pa.RecordBatch], dim: int, n_blocks: int, se
             )
 
 
+def _block_best(key: tuple, queries: pa.Table, vectors: pa.Table, dim: int, k: int) -> pa.Table:
+    """A query's ``k`` best of the vectors in the buckets that it probes, of one block, some queries at a time."""
+    step = max(1, SCORES_AT_ONCE // max(1, len(vectors)))
+    slices = [queries.slice(at, step) for at in range(0, max(1, len(queries)), step)]
+    return pa.concat_tables([_best(some, vectors, dim, k) for some in slices])
+
+
 def _best(queries: pa.Table, vectors: pa.Table, dim: int, k: int) -> pa.Table:
-    """A query's ``k`` best of the vectors in the buckets that it probes, of one block."""
     queries, vectors = queries.combine_chunks(), vectors.combine_chunks()
     one = lambda table, name: table.column(name).combine_chunks()
     empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "near": pa.array([], pa.float64())})
@@ -200,8 +215,33 @@ def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.append(starts[1:], len(values)) if len(values) else starts
 
 
-def _block_best(key: tuple, queries: pa.Table, vectors: pa.Table, dim: int, k: int) -> pa.Table:
-    return _best(queries, vectors, dim, k)
+def _searched(asked: DataFrame, hashed: DataFrame, dim: int, k: int) -> DataFrame:
+    """The best that every query finds in each block that it probes: query_id, vec_id, near."""
+    # A block beyond its size is cut on either side; every cut of one side meets all of the other's.
+    cuts = hashed.groupBy("table", "block").agg(F.count("*").alias("held")).join(
+        asked.groupBy("table", "block").agg(F.count("*").alias("asking")), ["table", "block"]
+    ).select(
+        "table", "block",
+        F.ceil(F.col("held") / (2 * BLOCK_VECTORS)).cast("int").alias("vector_cuts"),
+        F.ceil(F.col("asking") / BLOCK_QUERIES).cast("int").alias("query_cuts"),
+    )
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    left = asked.join(cuts, ["table", "block"]).withColumn("query_cut", own("query_cuts")).withColumn("vector_cut", every("vector_cuts"))
+    right = hashed.join(cuts, ["table", "block"]).withColumn("vector_cut", own("vector_cuts")).withColumn("query_cut", every("query_cuts"))
+    keys = ["table", "block", "vector_cut", "query_cut"]
+    ship_package(asked.sparkSession)
+    return (
+        left.select(*keys, "id", "vector", "buckets").groupBy(*keys)
+        .cogroup(right.select(*keys, "id", "vector", "bucket").groupBy(*keys))
+        .applyInArrow(partial(_block_best, dim=dim, k=k), "query_id bigint, vec_id bigint, near double")
+    )
+
+
+def _merged(found: DataFrame, k: int) -> DataFrame:
+    merged = found.groupBy("query_id", "vec_id").agg(F.max("near").alias("near"))
+    by_near = Window.partitionBy("query_id").orderBy(F.desc("near"), "vec_id")
+    return merged.withColumn("place", F.row_number().over(by_near)).filter(F.col("place") <= k + SPARE)
 
 
 def nearest(
@@ -217,7 +257,8 @@ def nearest(
     seed: int = SEED,
 ) -> DataFrame:
     """The ``k`` vectors found of largest inner product with each query: query_id, rank (from 1),
-    vec_id, score; ties go to the smaller id, the query's own id is left out.
+    vec_id, score; ties go to the smaller id, the query's own id is left out. Only where there are fewer
+    other vectors does a query get fewer rows.
 
     Vectors that are null, zero, of another length than most, or hold null or non-finite
     components take no part, nor do null ids. Rows that share an id are one vector, the smallest by
@@ -250,30 +291,22 @@ def nearest(
         f"table int, block int, buckets array<bigint>, id bigint, vector {kind}",
     )
     hashed, asked = stored(hashed, "nearest-buckets"), stored(asked, "nearest-probes")
-    # A block beyond its size is cut on either side; every cut of one side meets all of the other's.
-    cuts = hashed.groupBy("table", "block").agg(F.count("*").alias("held")).join(
-        asked.groupBy("table", "block").agg(F.count("*").alias("asking")), ["table", "block"]
-    ).select(
-        "table", "block",
-        F.ceil(F.col("held") / (2 * BLOCK_VECTORS)).cast("int").alias("vector_cuts"),
-        F.ceil(F.col("asking") / BLOCK_QUERIES).cast("int").alias("query_cuts"),
-    )
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    left = asked.join(cuts, ["table", "block"]).withColumn("query_cut", own("query_cuts")).withColumn("vector_cut", every("vector_cuts"))
-    right = hashed.join(cuts, ["table", "block"]).withColumn("vector_cut", own("vector_cuts")).withColumn("query_cut", every("query_cuts"))
-    keys = ["table", "block", "vector_cut", "query_cut"]
-    ship_package(spark)
-    found = (
-        left.select(*keys, "id", "vector", "buckets").groupBy(*keys)
-        .cogroup(right.select(*keys, "id", "vector", "bucket").groupBy(*keys))
-        .applyInArrow(partial(_block_best, dim=dim, k=k), "query_id bigint, vec_id bigint, near double")
-    )
-    merged = found.groupBy("query_id", "vec_id").agg(F.max("near").alias("near"))
-    by_near = Window.partitionBy("query_id").orderBy(F.desc("near"), "vec_id")
-    merged = merged.withColumn("place", F.row_number().over(by_near)).filter(F.col("place") <= k + SPARE)
+    best = _merged(_searched(asked, hashed, dim, k), k)
+    # Queries that met too few vectors are compared with all: one bucket for every block of a table.
+    best = stored(best, "nearest-found")
+    enough = best.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("n")).filter(F.col("n") >= min(k, n_vectors - 1))
+    short = stored(rows.filter("asks").select("id", "vector").join(enough, "id", "left_anti"), "nearest-short")
+    if not short.isEmpty():
+        one_bucket = F.lit(0).cast("bigint")
+        everything = hashed.filter("table = 0").withColumn("bucket", one_bucket)
+        every_block = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
+        asking = short.select(
+            F.lit(0).alias("table"), every_block.alias("block"), F.array(one_bucket).alias("buckets"), "id", "vector"
+        )
+        filled = _merged(_searched(asking, everything, dim, k), k)
+        best = best.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(filled)
     exact = (
-        merged.join(rows.select(F.col("id").alias("query_id"), F.col("vector").alias("query")), "query_id")
+        best.join(rows.select(F.col("id").alias("query_id"), F.col("vector").alias("query")), "query_id")
         .join(rows.select(F.col("id").alias("vec_id"), "vector"), "vec_id")
     )
     products = F.zip_with("query", "vector", lambda a, b: a.cast("double") * b.cast("double"))

@@ -122,6 +122,47 @@ def test_rows_that_take_no_part_and_ties(spark):
     )
 
 
+def ranking(rows, k):
+    """(query_id, rank, vec_id) against all vectors, products summed in the order of the components."""
+    wanted = []
+    for q, asked in ((i, v) for i, v in rows if i % 20 == 0):
+        scores = []
+        for i, held in rows:
+            total = 0.0
+            for a, b in zip(asked, held):
+                total += a * b
+            scores += [(-total, i)] * (i != q)
+        wanted += [(q, rank, i) for rank, (_, i) in enumerate(sorted(scores)[:k], 1)]
+    return wanted
+
+
+def ranked(frame):
+    return [tuple(r)[:3] for r in frame.orderBy("query_id", "rank").collect()]
+
+
+def test_an_outlier_norm_does_not_shorten_the_lists(spark):
+    points = vectors(3000, 64, 5)
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    points[1] *= 300
+    frame = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id bigint, embedding array<double>")
+    rows = nearest.nearest(frame, F.col("vec_id") % 20 == 0).collect()
+    assert Counter(r["query_id"] for r in rows) == Counter({q: 20 for q in range(0, 3000, 20)})
+    exact = points @ points.T
+    np.fill_diagonal(exact, -np.inf)
+    hits = sum(r["vec_id"] in np.argsort(-exact[r["query_id"]])[:20] for r in rows)
+    assert hits >= 0.95 * 20 * 150
+
+
+@pytest.mark.parametrize("n", [5, 20, 21, 60])
+def test_small_tables_are_ranked_whole(spark, n):
+    rows = [(i, p.tolist()) for i, p in enumerate(vectors(n, 64, n, (0.01, 100)))]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = ranked(nearest.nearest(frame, F.col("vec_id") % 20 == 0, n_probes=2))
+    assert [f[:2] for f in found] == [w[:2] for w in ranking(rows, 20)]
+    if n <= 21:
+        assert found == ranking(rows, 20)
+
+
 def test_few_or_no_vectors(spark):
     schema = "vec_id bigint, embedding array<float>"
     assert nearest.nearest(spark.createDataFrame([], schema), F.col("vec_id") % 20 == 0).count() == 0
