@@ -163,6 +163,33 @@ def test_small_tables_are_ranked_whole(spark, n):
         assert found == ranking(rows, 20)
 
 
+@pytest.mark.parametrize(("n", "n_queries", "norm"), [(203, 1, 3000), (203, 37, 3000), (101, 5, 1e6), (203, 1, 1e-9)])
+def test_a_block_keeps_the_smallest_of_equal_vectors(n, n_queries, norm):
+    import pyarrow as pa
+
+    points = vectors(n_queries, 65, 1)
+    base = points[0] / np.linalg.norm(points[0])
+    vectors_ = pa.table({"id": range(n), "bucket": [0] * n, "vector": [(norm * base).tolist()] * n})
+    queries = pa.table({"id": range(1000, 1000 + n_queries), "buckets": [[0]] * n_queries, "vector": (points / 8 + base).tolist()})
+    found = nearest._block_best((), queries, vectors_, 65, 20).to_pydict()
+    assert list(zip(found["query_id"], found["vec_id"])) == [(1000 + q, i) for q in range(n_queries) for i in range(20)]
+
+
+@pytest.mark.parametrize(("block", "size"), [(nearest.BLOCK_VECTORS, 1e-8), (64, 300)])
+def test_equal_vectors_of_any_norm_tie(spark, monkeypatch, block, size):
+    monkeypatch.setattr(nearest, "BLOCK_VECTORS", block)
+    points = vectors(400, 64, 8)
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    base = points[7].copy()
+    points[1::2] = 300 * base
+    points[::20] = 0.3 * points[::20] + base
+    points[33::40] *= 1.5
+    points *= size
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(5)
+    assert ranked(nearest.nearest(frame, F.col("vec_id") % 20 == 0)) == ranking(rows, 20)
+
+
 def test_few_or_no_vectors(spark):
     schema = "vec_id bigint, embedding array<float>"
     assert nearest.nearest(spark.createDataFrame([], schema), F.col("vec_id") % 20 == 0).count() == 0
