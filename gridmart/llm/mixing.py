@@ -92,7 +92,7 @@ def mixed_copies(
     weights: tuple[int, ...] = WEIGHTS,
     repeats: int = REPEATS,
 ) -> DataFrame:
-    """Every copy the mix could take, in cells of rising finish time: doc_id, row_key, number,
+    """Every copy the mix could take, in cells of rising finish time: doc_id, source, row_key, number,
     size, source_size, target, copy (from 0), finish, served (tokens sent up to and with the copy) and
     in_mix. Documents without words have one row, outside the mix.
 
@@ -120,7 +120,7 @@ def mixed_copies(
         digits += 1
     served = numbered.join(
         targets.withColumnRenamed("source", "target_source"), F.col("source").eqNullSafe(F.col("target_source"))
-    ).drop("source", "target_source")
+    ).drop("target_source")
     served = served.withColumn("cell", F.substring("place", 1, digits))
     served = _running(served, ["source_no"], "cell", ["place", "row_key", "number"], "size").drop("cell")
 
@@ -132,10 +132,10 @@ def mixed_copies(
     queued = queued.withColumn("finish", finish).drop("upto")
     queued = queued.withColumn("moment", F.floor(F.col("finish") * cells))
     queued = _running(queued, [], "moment", ["finish", "place", "row_key", "number", "copy"], "size")
-    columns = ["doc_id", "row_key", "number", "size", "source_size", "target", "copy", "finish"]
+    columns = ["doc_id", "source", "row_key", "number", "size", "source_size", "target", "copy", "finish"]
     taken = queued.select(*columns, F.col("upto").alias("served"), (F.col("upto") <= F.col("budget")).alias("in_mix"))
     wordless = served.filter(F.col("size") == 0).select(
-        "doc_id", "row_key", "number", "size", "source_size", "target",
+        "doc_id", "source", "row_key", "number", "size", "source_size", "target",
         F.lit(0).alias("copy"), F.lit(None).cast("double").alias("finish"),
         F.lit(None).cast("bigint").alias("served"), F.lit(False).alias("in_mix"),
     )
@@ -157,10 +157,13 @@ def mix(
     is a source, the last one. Repeated rows are rows of their own in the queue. An empty table
     gives an empty result; other columns are not read. Reruns give the same rows.
     """
-    copies = mixed_copies(documents, id_column, text_column, source_column, weights, repeats)
-    keys = ["doc_id", "row_key", "number", "size", "source_size", "target"]
-    summed = copies.groupBy(*keys).agg(F.sum(F.col("in_mix").cast("int")).cast("int").alias("copies"))
-    return summed.withColumn("taken", F.col("size") * F.col("copies")).drop("number")
+    rows = _copies_of_rows(mixed_copies(documents, id_column, text_column, source_column, weights, repeats))
+    return rows.withColumn("taken", F.col("size") * F.col("copies")).drop("source", "number")
+
+
+def _copies_of_rows(copies: DataFrame) -> DataFrame:
+    keys = ["doc_id", "source", "row_key", "number", "size", "source_size", "target"]
+    return copies.groupBy(*keys).agg(F.sum(F.col("in_mix").cast("int")).cast("int").alias("copies"))
 
 
 def mixed_documents(
@@ -173,15 +176,24 @@ def mixed_documents(
 ) -> DataFrame:
     """The rows of the mix with all their columns, a row for each copy taken."""
     columns = documents.columns
-    plan = mix(documents, id_column, text_column, source_column, weights, repeats)
-    plan = plan.groupBy("row_key").agg(F.count("*").alias("__mix_rows"), F.sum("copies").alias("__mix_copies"))
-    plan = stored(plan.filter(F.col("__mix_copies") > 0), "mix-plan").withColumnRenamed("row_key", "__mix_key")
+    plan = _copies_of_rows(mixed_copies(documents, id_column, text_column, source_column, weights, repeats))
+    plan = plan.groupBy(F.col("row_key").alias("__mix_plan_key"), F.col("source").alias("__mix_source")).agg(
+        F.count("*").alias("__mix_rows"), F.sum("copies").alias("__mix_copies")
+    )
+    plan = stored(plan.filter(F.col("__mix_copies") > 0), "mix-plan")
     keyed = documents.withColumn("__mix_key", row_key(F.col(id_column), F.col(text_column)))
-    chosen = keyed.join(plan, "__mix_key")
-    single = chosen.filter(F.col("__mix_rows") == 1)
-    # Equal rows are one row here, taken as often as all of them together.
-    repeated = chosen.filter(F.col("__mix_rows") > 1).dropDuplicates([*columns, "__mix_key"])
-    spread = Window.partitionBy("__mix_key").orderBy(*columns)
-    repeated = repeated.withColumn("__mix_copies", F.when(F.row_number().over(spread) == 1, F.col("__mix_copies")))
-    both = single.unionByName(repeated.filter(F.col("__mix_copies").isNotNull()))
+    same = (F.col("__mix_key") == F.col("__mix_plan_key")) & F.col(source_column).eqNullSafe(F.col("__mix_source"))
+    chosen = keyed.join(plan, same).drop("__mix_plan_key", "__mix_source")
+    single = chosen.filter(F.col("__mix_rows") == 1).select(*columns, "__mix_copies")
+    # Rows of one key and source take the same copies but for one more of the first in order; equal rows
+    # are one row here, taken as often as all of them together.
+    group = [*columns, "__mix_key", "__mix_rows", "__mix_copies"]
+    repeated = chosen.filter(F.col("__mix_rows") > 1).groupBy(*group).agg(F.count("*").alias("__mix_equal"))
+    spread = Window.partitionBy("__mix_key", source_column).orderBy(*columns)
+    upto = F.sum("__mix_equal").over(spread.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    repeated = repeated.withColumn("__mix_upto", upto).withColumn("__mix_more", F.expr("__mix_copies % __mix_rows"))
+    more = F.greatest(F.lit(0), F.least("__mix_upto", "__mix_more") - F.col("__mix_upto") + F.col("__mix_equal"))
+    each = F.expr("__mix_copies div __mix_rows")
+    repeated = repeated.withColumn("__mix_copies", F.col("__mix_equal") * each + more).select(*columns, "__mix_copies")
+    both = single.unionByName(repeated.filter(F.col("__mix_copies") > 0))
     return both.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__mix_copies")))).select(*columns)

@@ -115,6 +115,21 @@ def test_mixed_documents_have_their_copies(edge):
     assert mixing.mixed_documents(edge).columns == edge.columns
 
 
+def test_rows_alike_but_for_the_source_are_mixed_apart(spark):
+    rows = [(i % 9 if i % 3 else None, sentence(i % 9, 8), lang, s) for i in range(45) for lang, s in [("en", "a"), ("de", "a"), ("en", None), ("en", "c"), ("en", "d")]]
+    rows += [(100 + i, sentence(i, 30), "en", "b") for i in range(40)]
+    frame = documents(spark, rows)
+    key = lambda r: (r["doc_id"], r["source"], r["size"])
+    mixed = mixing.mixed_documents(frame).collect()
+    assert {r["source"] for r in mixed} == {"a", "b", "c", "d", None}
+    assert {r["lang"] for r in mixed if r["source"] == "a"} == {"de", "en"}
+    held, taken = Counter((i, t, lang, s) for i, t, lang, s in rows), Counter((r["doc_id"], r["text"], r["lang"], r["source"]) for r in mixed)
+    assert all(n <= 3 * held[row] for row, n in taken.items())
+    copies = Counter(key(r) for r in mixing.mixed_copies(frame).filter("in_mix").collect())
+    assert Counter((r["doc_id"], r["source"], len(WORD.findall(r["text"]))) for r in mixed) == copies
+    assert mixing.mix(frame).count() == len(rows)
+
+
 def test_nothing_to_mix(spark, nothing):
     assert mixing.mix(nothing).count() == 0
     assert mixing.mixed_documents(nothing).count() == 0
