@@ -3,7 +3,8 @@
 Each language has a raw-content dictionary of its own training texts. A text is compressed with
 every dictionary, in blocks so that the dictionary and not the text's own beginning explains it;
 the language with the smallest total wins. Where the runner-up is nearly as small the text is
-rejected.
+rejected. Short texts find no match that saves a byte and are equally large for all: exact ties go to the
+language whose dictionary lacks the fewest of the text's pieces of 3 to 5 bytes, if it is clearly the fewest.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ BLOCK_BYTES = 600
 LEVEL = 6
 MARGIN = 0.01
 SHARPNESS = 40.0
+PIECES = (3, 4, 5)
 UNKNOWN = "und"
 
 
@@ -79,6 +81,11 @@ def _plain(text: str) -> bytes:
     return text.lower().encode("utf-8", "replace")
 
 
+def _pieces(content: bytes) -> list[bytes]:
+    spaced = b" " + b" ".join(content.split()) + b" "
+    return [spaced[i : i + n] for n in PIECES for i in range(len(spaced) - n + 1)]
+
+
 class Classifier:
     def __init__(self, dictionaries: dict[str, bytes], block: int = BLOCK_BYTES, margin: float = MARGIN):
         import zstandard
@@ -86,6 +93,7 @@ class Classifier:
         self._langs = list(dictionaries)
         self._block = block
         self._margin = margin
+        self._known = [frozenset(_pieces(content)) for content in dictionaries.values()]
         self._compressors = []
         for content in dictionaries.values():
             raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -105,7 +113,14 @@ class Classifier:
         best = sizes[order[0]]
         score = 1.0 / sum(math.exp(min(0.0, SHARPNESS * (best - s) / best)) for s in sizes)
         narrow = len(order) > 1 and sizes[order[1]] - best < self._margin * sizes[order[1]]
-        return self._langs[order[0]], score, narrow
+        tied = [i for i in order if sizes[i] == best]
+        if len(tied) > 1:
+            pieces = _pieces(data)
+            lacking = {i: sum(p not in self._known[i] for p in pieces) for i in tied}
+            tied.sort(key=lambda i: (lacking[i], self._langs[i]))
+            fewest, next_ = lacking[tied[0]], lacking[tied[1]]
+            narrow = next_ == fewest or next_ - fewest < self._margin * next_
+        return self._langs[tied[0]], score, narrow
 
 
 def _classify_batches(
@@ -136,8 +151,8 @@ def identify(
     named in ``keep`` (whole rows, for filtering).
 
     Null texts and texts without a letter are ``und`` with score 0, rejected; so is everything if
-    no language could be learnt. Ties go to the language first by name, and are rejected as
-    narrow. Repeated rows and null ids (never held out) stay rows of their own; an empty table gives
+    no language could be learnt. Ties of the sizes are broken by the pieces of 3 to 5 bytes that a dictionary
+    lacks; ties in those too go to the language first by name, and are rejected as narrow. Repeated rows and null ids (never held out) stay rows of their own; an empty table gives
     an empty result.
     """
     if dictionaries is None:

@@ -51,6 +51,14 @@ def test_predictions_ignore_the_label_and_the_id(spark):
     assert language_id.Classifier({}).classify("text") == ("und", 0.0, True)
 
 
+def test_short_texts_are_told_apart():
+    texts = {lang: "\n".join(sentence(i, 40, lang) for i in range(200)).encode() for lang in ("de", "en")}
+    judge = language_id.Classifier(texts)
+    for text, lang in [("Thing shed.", "en"), ("Under ich.", "de"), ("Whing", "en"), ("Keit", "de")]:
+        assert judge.classify(text)[::2] == (lang, False)
+    assert judge.classify("漢字")[::2] == ("de", True)
+
+
 def counts_of(text):
     text = text or ""
     words = WORD.findall(text)
