@@ -44,37 +44,47 @@ def train_dictionaries(
     dictionary_bytes: int = DICTIONARY_BYTES,
     rows: int = TRAINING_ROWS,
 ) -> dict[str, bytes]:
-    """A dictionary for each language: whole texts of a bounded random sample of its documents.
+    """A dictionary for each language: equal shares of a bounded random sample of its distinct texts.
 
-    About ``rows`` documents of each language reach the driver, each with ``dictionary_bytes``
-    characters at most; rows without a language, without a letter or held out are not learnt from.
+    About ``rows`` texts of each language reach the driver, as excerpts at hashed places; a text shorter
+    than its share leaves the rest to the others. Rows without a language, without a letter or held out
+    are not learnt from, and equal texts are one.
     """
     usable = documents.select(
         F.col(lang_column).alias("lang"),
         F.col(text_column).alias("text"),
-        F.xxhash64(F.lit("language"), F.col(id_column), F.col(text_column)).alias("draw"),
+        F.xxhash64(F.lit("language"), F.col(text_column)).alias("draw"),
         held_out(F.col(id_column)).alias("held"),
-    ).filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~F.col("held"))
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    ).filter(F.col("lang").isNotNull() & ~F.col("held") & F.col("text").rlike(r"\p{L}"))
+    distinct = F.approx_count_distinct("draw", 0.02).alias("n")
+    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(distinct).collect()}
     if not counts:
         return {}
-    chance = F.lit(0.0)
+    chance, length = F.lit(0.0), F.lit(0)
     for lang, n in counts.items():
-        chance = F.when(F.col("lang") == lang, F.lit(min(1.0, rows / n))).otherwise(chance)
+        of_lang = F.col("lang") == lang
+        # A sample that is small by chance, or has many short texts, still fills the dictionary.
+        share = min(dictionary_bytes, 16 * dictionary_bytes // min(rows, max(1, n)))
+        chance = F.when(of_lang, F.lit(1.0 if n <= rows else rows / n)).otherwise(chance)
+        length = F.when(of_lang, F.lit(share)).otherwise(length)
     drawn = (F.col("draw") / F.lit(2.0**64) + 0.5) < chance
-    sample = usable.filter(drawn & F.col("text").rlike(r"\p{L}"))
+    spare = F.greatest(F.length("text") - length, F.lit(0))
+    place = F.pmod(F.xxhash64(F.lit("place"), "draw"), spare + 1).cast("int") + 1
+    sample = usable.filter(drawn).select("lang", "draw", F.substring(F.col("text"), place, length).alias("text"))
+    sample = sample.groupBy("lang", "draw").agg(F.min("text").alias("text"))
     texts: dict[str, list[tuple[int, str]]] = {}
-    for r in sample.select("lang", "draw", F.substring("text", 1, dictionary_bytes).alias("text")).toLocalIterator():
+    for r in sample.toLocalIterator():
         texts.setdefault(r["lang"], []).append((r["draw"], r["text"]))
-    dictionaries = {}
-    for lang in sorted(texts):
-        content = b""
-        for _, text in sorted(texts[lang]):
-            if len(content) >= dictionary_bytes:
-                break
-            content += _plain(text) + b"\n"
-        dictionaries[lang] = content[:dictionary_bytes]
-    return dictionaries
+    return {lang: _in_shares([_plain(text) for _, text in sorted(texts[lang])], dictionary_bytes) for lang in sorted(texts)}
+
+
+def _in_shares(contents: list[bytes], total: int) -> bytes:
+    """The beginnings of all contents, as long as each other where there is enough, ``total`` bytes at most."""
+    left, taken = total, {}
+    for place, i in enumerate(sorted(range(len(contents)), key=lambda i: len(contents[i]))):
+        taken[i] = (contents[i] + b"\n")[: left // (len(contents) - place)]
+        left -= len(taken[i])
+    return b"".join(taken[i] for i in range(len(contents)))
 
 
 def _plain(text: str) -> bytes:

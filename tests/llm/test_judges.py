@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 
 import pytest
@@ -51,6 +52,18 @@ def test_predictions_ignore_the_label_and_the_id(spark):
     assert language_id.Classifier({}).classify("text") == ("und", 0.0, True)
 
 
+def test_dictionaries_learn_from_all_sampled_texts_alike(spark):
+    rows = [(i, f"word{i}x " + sentence(i, 100 if i % 2 else 5), "en", "a") for i in range(300)]
+    rows += [(1000 + i, f"long{i}x " * 40_000, "en", "a") for i in range(8)]
+    rows += [(2000, "hot " * 500, "en", "a")] * 300 + [(None, "null " * 500, "en", "a")] * 300
+    content = language_id.train_dictionaries(documents(spark, rows))["en"]
+    learnt = [i for i, *_ in rows[:300] if zlib.crc32(str(i).encode()) % 5]
+    assert all(b"word%dx " % i in content for i in learnt)
+    assert 100_000 < len(content) <= 128_000
+    assert content.count(b"hot ") <= 500 and content.count(b"null ") <= 500
+    assert content.count(b"long") * 7 <= 110_000
+
+
 def test_short_texts_are_told_apart():
     texts = {lang: "\n".join(sentence(i, 40, lang) for i in range(200)).encode() for lang in ("de", "en")}
     judge = language_id.Classifier(texts)
