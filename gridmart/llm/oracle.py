@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from gridmart.llm.licenses import NOTICES, PERCENT, PHRASES
+
 MIXING = r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -81,4 +83,92 @@ SELECT doc_id, n AS n_shingles, (SELECT min(other) FROM reached r WHERE r.doc_id
 FROM sizes s
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_ngram_jaccard": JACCARD, "op9_mixing": MIXING}
+_TEMPLATES = ", ".join(
+    f"('{t.label}', {str(t.is_phrase).upper()}, '{t.text}')" for t in (*PHRASES, *NOTICES)
+)
+
+LICENSES = rf"""
+WITH templates AS (
+  SELECT t, label, is_phrase, w, list_distinct(w) AS distinct_words, len(w) AS length
+  FROM (
+    SELECT row_number() OVER () AS t, label, is_phrase, regexp_extract_all(lower(body), '[0-9a-z]+') AS w
+    FROM (VALUES {_TEMPLATES}) AS v(label, is_phrase, body)
+  )
+), texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), words AS MATERIALIZED (
+  SELECT r, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM texts
+), places AS (
+  SELECT r, label, i FROM words JOIN templates t ON is_phrase AND word = t.w[1] JOIN texts x USING (r)
+  WHERE x.w[i + 1 : i + length] = t.w
+), blocks AS (
+  SELECT r, t, label, (i // length) - back AS block, len(any_value(distinct_words)) AS size,
+    count(DISTINCT word) AS shared
+  FROM words JOIN (SELECT *, unnest(distinct_words) AS word FROM templates WHERE NOT is_phrase) USING (word),
+    (VALUES (0), (1)) AS v(back)
+  WHERE (i // length) >= back GROUP BY ALL
+), notices AS (
+  SELECT r, label, shared::DOUBLE / size::DOUBLE AS containment FROM blocks WHERE 100 * shared >= {PERCENT} * size
+), base AS (
+  SELECT r, count(*) AS n, min(i) AS first_word, max(i) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM places GROUP BY r
+), every AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(containment) AS score
+  FROM (SELECT r, label, containment FROM notices UNION ALL SELECT r, label, 1.0::DOUBLE FROM places) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_base, b.first_word::BIGINT AS first_word,
+  b.last_word::BIGINT AS last_word, coalesce(b.labels, '') AS base_labels, coalesce(e.labels, '') AS labels,
+  coalesce(e.score, 0.0)::DOUBLE AS score
+FROM texts LEFT JOIN base b USING (r) LEFT JOIN every e USING (r)
+"""
+
+COLLOCATIONS = r"""
+WITH piece AS (
+  SELECT lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS t
+    FROM documents
+  )
+), start AS MATERIALIZED (
+  SELECT lang, w, len(w) AS size, unnest(range(1, len(w) + 1)) AS i FROM piece
+), f AS MATERIALIZED (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS c,
+    count(*) FILTER (i > 1) AS n_left, count(*) FILTER (i + k - 1 < size) AS n_right
+  FROM start, (VALUES (1), (2), (3)) AS v(k) WHERE i + k - 1 <= size GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(c)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+), candidate AS MATERIALIZED (
+  SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND c >= 10
+), cut AS (
+  SELECT a.*, v.cut_at, l.c AS l, r.c AS r, (1000000::HUGEINT * a.c * a.c) // (l.c::HUGEINT * r.c) AS score
+  FROM candidate a CROSS JOIN (VALUES (1), (2)) AS v(cut_at)
+  JOIN f l ON l.lang = a.lang AND l.phrase = array_to_string(a.w[1 : v.cut_at], ' ')
+  JOIN f r ON r.lang = a.lang AND r.phrase = array_to_string(a.w[v.cut_at + 1 : a.k], ' ')
+  WHERE v.cut_at < a.k
+), lowest AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut_at) = 1
+), absorbed AS (
+  SELECT DISTINCT lang, phrase FROM (
+    SELECT b.lang, unnest([b.w[1] || ' ' || b.w[2], b.w[2] || ' ' || b.w[3]]) AS phrase, b.c AS longer
+    FROM candidate b WHERE b.k = 3
+  ) JOIN f USING (lang, phrase) WHERE 100 * longer >= 50 * c
+), kept AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, c DESC, phrase) AS rank
+  FROM lowest WHERE (lang, phrase) NOT IN (SELECT (lang, phrase) FROM absorbed)
+)
+SELECT lang, rank::BIGINT AS rank, phrase, c::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score,
+  n_left::BIGINT AS n_left, n_right::BIGINT AS n_right
+FROM kept JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_ngram_jaccard": JACCARD,
+    "op9_mixing": MIXING,
+    "op11_license_scan": LICENSES,
+    "op12_collocations": COLLOCATIONS,
+}

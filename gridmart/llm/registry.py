@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import byte_pairs, jaccard, language_id, mixing, nearest, quality_rules, records, sharding, token_counts, weak_labels
+from gridmart.llm import alignment, byte_pairs, collocations, jaccard, language_id, licenses, mixing, nearest, quality_rules, records, sharding, token_counts, weak_labels
 from gridmart.llm.common import read_documents
 from gridmart.llm.oracle import ORACLE_SQL
 
@@ -69,6 +69,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_documents(spark, sf_dir))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_digest(licenses.find_licenses(read_documents(spark, sf_dir)))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_documents(spark, sf_dir))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -80,4 +92,7 @@ QUERIES: dict[str, Query] = {
     "op9_mixing": op9_mixing,
     "op7_byte_level_bpe": op7_byte_level_bpe,
     "op10_token_counts": op10_token_counts,
+    "op11_license_scan": op11_license_scan,
+    "op12_collocations": op12_collocations,
+    "op13_token_alignment": op13_token_alignment,
 }
