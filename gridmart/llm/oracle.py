@@ -144,12 +144,15 @@ WITH piece AS (
   SELECT lang, sum(c)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
 ), candidate AS MATERIALIZED (
   SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND c >= 10
+), parts AS MATERIALIZED (
+  SELECT c.*, v.cut_at, array_to_string(w[1 : cut_at], ' ') AS head, array_to_string(w[cut_at + 1 : k], ' ') AS tail
+  FROM candidate c, (VALUES (1), (2)) AS v(cut_at) WHERE cut_at < k
+), sides AS MATERIALIZED (
+  SELECT lang, phrase, c FROM f
+  WHERE (lang, phrase) IN (SELECT (lang, head) FROM parts UNION SELECT (lang, tail) FROM parts)
 ), cut AS (
-  SELECT a.*, v.cut_at, l.c AS l, r.c AS r, (1000000::HUGEINT * a.c * a.c) // (l.c::HUGEINT * r.c) AS score
-  FROM candidate a CROSS JOIN (VALUES (1), (2)) AS v(cut_at)
-  JOIN f l ON l.lang = a.lang AND l.phrase = array_to_string(a.w[1 : v.cut_at], ' ')
-  JOIN f r ON r.lang = a.lang AND r.phrase = array_to_string(a.w[v.cut_at + 1 : a.k], ' ')
-  WHERE v.cut_at < a.k
+  SELECT p.*, l.c AS l, r.c AS r, (1000000::HUGEINT * p.c * p.c) // (l.c::HUGEINT * r.c) AS score
+  FROM parts p JOIN sides l ON l.lang = p.lang AND l.phrase = p.head JOIN sides r ON r.lang = p.lang AND r.phrase = p.tail
 ), lowest AS (
   SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut_at) = 1
 ), absorbed AS (
@@ -159,7 +162,7 @@ WITH piece AS (
   ) JOIN f USING (lang, phrase) WHERE 100 * longer >= 50 * c
 ), kept AS (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, c DESC, phrase) AS rank
-  FROM lowest WHERE (lang, phrase) NOT IN (SELECT (lang, phrase) FROM absorbed)
+  FROM lowest ANTI JOIN absorbed USING (lang, phrase)
 )
 SELECT lang, rank::BIGINT AS rank, phrase, c::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score,
   n_left::BIGINT AS n_left, n_right::BIGINT AS n_right
