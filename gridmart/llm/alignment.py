@@ -91,7 +91,9 @@ class _Side:
     def __init__(self, vocabulary: Vocabulary):
         self._vocabulary = vocabulary
         self.code = "H" if len(vocabulary.tokens) <= 1 << 16 else "I"
-        self.sizes = np.array([len(t) for t in vocabulary.tokens], np.int64)
+        self.widths = [len(t) for t in vocabulary.tokens]
+        self.names = list(map(str, range(len(vocabulary.tokens))))
+        self.sizes = np.array(self.widths, np.int64)
         self.spaced = np.array([t[:1] == b" " for t in vocabulary.tokens])
         self.faithful = True
         self._words = WordCache(self._checked, "", limit=CACHE_BYTES)
@@ -119,17 +121,20 @@ class Aligner:
         self._windows: dict[tuple[bytes, bytes], Window] = {}
 
     def _window(self, key: tuple[bytes, bytes]) -> Window:
-        a, b = (np.frombuffer(ids, side.code) for ids, side in zip(key, (self._a, self._b), strict=True))
-        end_a, end_b = np.cumsum(self._a.sizes[a]), np.cumsum(self._b.sizes[b])
-        last_a = np.flatnonzero(np.isin(end_a, end_b, assume_unique=True))
-        last_b = np.flatnonzero(np.isin(end_b, end_a, assume_unique=True))
-        groups, from_a, from_b = [], 0, 0
-        names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        for to_a, to_b in zip((last_a + 1).tolist(), (last_b + 1).tolist(), strict=True):
-            groups.append(",".join(names_a[from_a:to_a]) + "|" + ",".join(names_b[from_b:to_b]))
-            from_a, from_b = to_a, to_b
-        links = (a[last_a].astype(np.int64) << 32) | b[last_b]
-        return Window(";".join(groups), links.tobytes())
+        a, b = memoryview(key[0]).cast(self._a.code), memoryview(key[1]).cast(self._b.code)
+        widths_a, widths_b, names_a, names_b = self._a.widths, self._b.widths, self._a.names, self._b.names
+        groups, links, from_a, from_b, to_b, end_a, end_b = [], [], 0, 0, 0, 0, 0
+        for to_a, last in enumerate(a, 1):
+            end_a += widths_a[last]
+            while end_b < end_a:
+                end_b += widths_b[b[to_b]]
+                to_b += 1
+            if end_a == end_b:
+                own_a, own_b = [names_a[i] for i in a[from_a:to_a]], [names_b[i] for i in b[from_b:to_b]]
+                groups.append(f"{','.join(own_a)}|{','.join(own_b)}")
+                links.append(last << 32 | b[to_b - 1])
+                from_a, from_b = to_a, to_b
+        return Window(";".join(groups), array("q", links).tobytes())
 
     def _kept(self, key: tuple[bytes, bytes]) -> Window:
         found = self._windows.get(key)

@@ -1,24 +1,27 @@
 """Phrase collocations from FM-indexes over word ids, one for each shard of texts.
 
 A shard is a run of texts of one language, its words numbered and its pieces parted by 0. Its index is the
-Burrows-Wheeler transform of that sequence and of its reverse, both in the order of ``depth`` words of
-context, which is all that phrases of ``depth`` words need. Every phrase is an interval of rows in both. One
+Burrows-Wheeler transform of that sequence and of its reverse, both in the order of as many words of
+context as the wanted phrases have, which is all that these need. Every phrase is an interval of rows in both. One
 step extends all intervals at once by the words that stand before them (or, in the
 reverse transform, behind them): the symbols inside an interval, counted, give the longer phrases, their numbers
 and their intervals. Nothing is enumerated that does not occur.
 
-Counts are sums over the shards. A phrase can be frequent only if all its words are, so that the shards
-leave out phrases with a word that is rare over all of them.
+Counts are sums over the shards. A phrase can be frequent only if all its words are, and its beginning and end
+of one word less: words that are rare over all shards are one symbol, and phrases of each
+length are counted after those one shorter, whose frequent ones reach the tasks as a bitmap of fixed size by hash.
+The bitmap only leaves phrases out that cannot be frequent; the fuller it is, the fewer.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +30,8 @@ from gridmart.llm.common import map_batches, stored
 SHARD_WORDS = 1_500_000
 OUT_ROWS = 200_000
 SALTS = 256
+BITMAP_BITS = 26
+RARE = 1  # the symbol of words that are rare over all shards
 UNKNOWN = "und"
 _CUT = b"\xff"  # in no UTF-8 text
 # Pieces end at . , ; : ! ? and at the line ends 0x0A to 0x0D, words at blanks and tabs; A-Z are lower-cased.
@@ -120,11 +125,16 @@ class PhraseIndex:
     def __init__(self, backward: np.ndarray, forward: np.ndarray):
         self._left, self._right = HalfIndex(backward), HalfIndex(forward)
 
-    def phrases(self, depth: int, wanted: np.ndarray) -> Iterator[Phrases]:
-        """Phrases of 1 to ``depth`` words, all of them marked in ``wanted`` (by symbol)."""
+    def phrases(
+        self, depth: int, first_word: int = 1, keeps: Callable[[list[np.ndarray]], np.ndarray] | None = None
+    ) -> Iterator[Phrases]:
+        """Phrases of 1 to ``depth`` words, of symbols from ``first_word`` on, which ``keeps`` keeps.
+
+        A phrase that is not kept is not extended.
+        """
         starts = self._left.starts
-        symbol = np.flatnonzero(wanted[: len(starts) - 1] & (np.diff(starts) > 0))
-        symbol = symbol[symbol > 0]
+        symbol = np.flatnonzero(np.diff(starts) > 0)
+        symbol = symbol[symbol >= first_word]
         symbols, left = [symbol], starts[symbol]
         right, count = left, starts[symbol + 1] - left
         for length in range(1, depth + 1):
@@ -134,13 +144,52 @@ class PhraseIndex:
             # The interval on one side comes from the step, on the other from the place inside the old one.
             at_left = length % 2 == 1
             found = self._left.extend(left, count) if at_left else self._right.extend(right, count)
-            keep = (found.symbol > 0) & wanted[found.symbol]
-            parent, symbol, start, count, smaller = (part[keep] for part in found)
-            symbols = [s[parent] for s in symbols]
-            symbols = [symbol, *symbols] if at_left else [*symbols, symbol]
+            found = Extensions(*(part[found.symbol >= first_word] for part in found))
+            symbols = [s[found.parent] for s in symbols]
+            symbols = [found.symbol, *symbols] if at_left else [*symbols, found.symbol]
+            if keeps is not None:
+                kept = keeps(symbols)
+                found, symbols = Extensions(*(part[kept] for part in found)), [s[kept] for s in symbols]
+            parent, _, start, count, smaller = found
             left, right = (start, right[parent] + smaller) if at_left else (left[parent] + smaller, start)
 
 
+def phrase_places(ids: list[np.ndarray]) -> np.ndarray:
+    """The bit of each phrase, by a hash of its word ids."""
+    mixed = np.zeros(len(ids[0]), np.uint64)
+    for column in ids:
+        mixed = (mixed + column.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(32)
+    return (mixed >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+
+
+def _set_bits(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(1 << BITMAP_BITS, bool)
+    for batch in batches:
+        if batch.num_rows:
+            bits[phrase_places([batch.column(i).to_numpy() for i in range(length)])] = True
+    packed = np.packbits(bits, bitorder="little").view("<i8")
+    used = np.flatnonzero(packed)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(packed[used])], ["place", "bits"])
+
+
+def _bitmap(phrases: DataFrame, length: int) -> np.ndarray:
+    """Which bits the phrases have: 1 << BITMAP_BITS bits, whatever their number."""
+    ids = phrases.select(*[f"w{k}" for k in range(1, length + 1)])
+    found = map_batches(ids, partial(_set_bits, length=length), "place bigint, bits bigint")
+    rows = found.groupBy("place").agg(F.bit_or("bits").alias("bits")).toPandas()  # 1 << BITMAP_BITS - 6 rows
+    packed = np.zeros(1 << BITMAP_BITS - 6, "<i8")
+    packed[rows["place"].to_numpy()] = rows["bits"].to_numpy()
+    return packed.view(np.uint8)
+
+
+def _has_bit(bitmap: np.ndarray, ids: list[np.ndarray]) -> np.ndarray:
+    places = phrase_places(ids)
+    return (bitmap[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def _packed(values: np.ndarray) -> bytes:
     import zstandard
 
@@ -168,7 +217,7 @@ class _Shard:
         self.size += len(part)
         return len(part)
 
-    def indexed(self, lang: str, depth: int) -> pa.RecordBatch:
+    def row(self, lang: str) -> pa.RecordBatch:
         symbols = np.concatenate(self.parts)
         counts = np.bincount(symbols, minlength=len(self.words))
         words = [w.decode("utf-8") for w in self.words if w != _CUT]
@@ -177,14 +226,13 @@ class _Shard:
                 pa.array([lang], pa.string()),
                 pa.array([words], pa.list_(pa.string())),
                 pa.array([counts[1:]], pa.list_(pa.int64())),
-                pa.array([_packed(transform(symbols, depth))], pa.binary()),
-                pa.array([_packed(transform(symbols[::-1], depth))], pa.binary()),
+                pa.array([_packed(symbols)], pa.binary()),
             ],
-            ["lang", "words", "counts", "backward", "forward"],
+            ["lang", "words", "counts", "symbols"],
         )
 
 
-def _index(batches: Iterator[pa.RecordBatch], depth: int, shard_words: int) -> Iterator[pa.RecordBatch]:
+def _collect(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[pa.RecordBatch]:
     shards: dict[str, _Shard] = {}
     held = 0
     for batch in batches:
@@ -195,53 +243,74 @@ def _index(batches: Iterator[pa.RecordBatch], depth: int, shard_words: int) -> I
                 lang = max(shards, key=lambda name: shards[name].size)
             if shards[lang].size >= shard_words or held >= 2 * shard_words:
                 held -= shards[lang].size
-                yield shards.pop(lang).indexed(lang, depth)
+                yield shards.pop(lang).row(lang)
     for lang, shard in shards.items():
-        yield shard.indexed(lang, depth)
+        yield shard.row(lang)
 
 
-def build_shards(texts: DataFrame, depth: int, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """A row for each shard: shard, lang, words and counts by number, and the two transforms.
+def build_shards(texts: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """A row for each shard: shard, lang, its words and their counts by number, and the sequence of numbers.
 
     A shard holds about ``shard_words`` words of one task's texts, and at least one text.
     """
-    indexed = map_batches(
+    shards = map_batches(
         texts.select("lang", "text"),
-        partial(_index, depth=depth, shard_words=shard_words),
-        "lang string, words array<string>, counts array<bigint>, backward binary, forward binary",
+        partial(_collect, shard_words=shard_words),
+        "lang string, words array<string>, counts array<bigint>, symbols binary",
     )
-    return stored(indexed.withColumn("shard", F.monotonically_increasing_id()), "phrase-shards")
+    return stored(shards.withColumn("shard", F.monotonically_increasing_id()), "phrase-shards")
 
 
-def _enumerate(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
-    names = [f"w{k}" for k in range(1, depth + 1)] + ["n", "n_left", "n_right"]
+def _renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sequences whose frequent words are numbered by rising id, behind 0 for cuts and 1 for all other words."""
     for batch in batches:
         for i in range(batch.num_rows):
             known = batch.column("known")[i].values
             places, ids = (np.asarray(known.field(k)) for k in ("place", "id"))
-            backward, forward = (_unpacked(batch.column(c)[i].as_py()) for c in ("backward", "forward"))
-            size = int(backward.max()) + 1
-            numbers = np.zeros(size, np.int64)
-            wanted = np.zeros(size, bool)
-            numbers[places], wanted[places] = ids, True
-            for found in PhraseIndex(backward, forward).phrases(depth, wanted):
-                length = len(found.symbols)
-                if length == 1:
-                    continue
-                for at in range(0, len(found.count), OUT_ROWS):
-                    cut = slice(at, at + OUT_ROWS)
-                    columns = [pa.array(numbers[s[cut]]) for s in found.symbols]
-                    columns += [pa.nulls(len(columns[0]), pa.int64())] * (depth - length)
-                    columns += [pa.array(v[cut].astype(np.int64)) for v in found[1:]]
-                    yield pa.RecordBatch.from_arrays(columns, names)
+            order = np.argsort(ids)
+            symbols = _unpacked(batch.column("symbols")[i].as_py())
+            numbers = np.full(max(int(symbols.max()), int(places.max())) + 1, RARE, np.int32)
+            numbers[0] = 0
+            numbers[places[order]] = np.arange(len(order)) + RARE + 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([ids[order]], pa.list_(pa.int64())), pa.array([_packed(numbers[symbols])], pa.binary())],
+                ["ids", "symbols"],
+            )
+
+
+def _enumerate(batches: Iterator[pa.RecordBatch], length: int, bitmaps: dict[int, Broadcast]) -> Iterator[pa.RecordBatch]:
+    """The phrases of ``length`` words of each shard whose parts can all be frequent."""
+    names = [f"w{k}" for k in range(1, length + 1)] + ["n", "n_left", "n_right"]
+    for batch in batches:
+        for i in range(batch.num_rows):
+            ids = np.concatenate([np.zeros(RARE + 1, np.int64), np.asarray(batch.column("ids")[i].values)])
+            symbols = _unpacked(batch.column("symbols")[i].as_py())
+
+            def keeps(phrase: list[np.ndarray], ids: np.ndarray = ids) -> np.ndarray:
+                words = [ids[s] for s in phrase]
+                kept = np.ones(len(words[0]), bool)
+                if len(words) in bitmaps:
+                    kept &= _has_bit(bitmaps[len(words)].value, words)
+                if len(words) - 1 in bitmaps:
+                    shorter = bitmaps[len(words) - 1].value
+                    kept &= _has_bit(shorter, words[1:]) & _has_bit(shorter, words[:-1])
+                return kept
+
+            index = PhraseIndex(transform(symbols, length), transform(symbols[::-1], length))
+            for found in index.phrases(length, RARE + 1, keeps):
+                pass
+            for at in range(0, len(found.count), OUT_ROWS):
+                cut = slice(at, at + OUT_ROWS)
+                columns = [ids[s[cut]] for s in found.symbols] + [v[cut].astype(np.int64) for v in found[1:]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
 
 class PhraseCounts(NamedTuple):
-    """Stored tables: all words (lang, word, n), the frequent ones with their id, and frequent phrases."""
+    """Stored tables: all words (lang, word, n), the frequent ones with their id, and frequent phrases by length."""
 
     words: DataFrame
     known: DataFrame
-    phrases: DataFrame
+    phrases: dict[int, DataFrame]
 
 
 def _numbered(words: DataFrame, least: int) -> DataFrame:
@@ -270,13 +339,14 @@ def count_phrases(
 ) -> PhraseCounts:
     """Phrases of 2 to ``depth`` words that occur at least ``least`` times in texts of one language.
 
-    ``phrases`` has the word ids w1, w2, ..., n, n_left and n_right (occurrences with a further word
+    They have the word ids w1, w2, ..., n, n_left and n_right (occurrences with a further word
     before and behind them in the piece). Null languages are ``und``.
     """
+    spark = documents.sparkSession
     texts = documents.select(
         F.coalesce(F.col(lang_column).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text_column).alias("text")
     )
-    shards = build_shards(texts, depth, shard_words)
+    shards = build_shards(texts, shard_words)
     local = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "of"))
     local = local.select("shard", "lang", (F.col("place") + 1).alias("place"), F.col("of.words").alias("word"), "of.counts")
     words = stored(local.groupBy("lang", "word").agg(F.sum("counts").alias("n")), "phrase-all-words")
@@ -284,13 +354,20 @@ def count_phrases(
 
     met = local.select("shard", "lang", "word", "place").join(known.select("lang", "word", "id"), ["lang", "word"])
     met = met.groupBy("shard").agg(F.collect_list(F.struct("place", "id")).alias("known"))
-    wanted = shards.select("shard", "backward", "forward").join(met, "shard").drop("shard")
-    ids = [f"w{k}" for k in range(1, depth + 1)]
-    schema = ", ".join(f"{c} bigint" for c in [*ids, "n", "n_left", "n_right"])
-    found = map_batches(wanted, partial(_enumerate, depth=depth), schema)
-    # Each shard has every phrase once, so that nothing is won by adding up before the shuffle.
-    sums = found.repartition(*ids).groupBy(*ids).agg(*[F.sum(c).alias(c) for c in ("n", "n_left", "n_right")])
-    phrases = stored(sums.filter(F.col("n") >= least), "phrase-counts")
+    wanted = shards.select("shard", "symbols").join(met, "shard").select("known", "symbols")
+    sequences = stored(map_batches(wanted, _renumber, "ids array<bigint>, symbols binary"), "phrase-sequences")
+
+    phrases: dict[int, DataFrame] = {}
+    bitmaps: dict[int, Broadcast] = {}
+    for length in range(2, depth + 1):
+        ids = [f"w{k}" for k in range(1, length + 1)]
+        schema = ", ".join(f"{c} bigint" for c in [*ids, "n", "n_left", "n_right"])
+        found = map_batches(sequences, partial(_enumerate, length=length, bitmaps=dict(bitmaps)), schema)
+        # Each shard has every phrase once, so that nothing is won by adding up before the shuffle.
+        sums = found.repartition(*ids).groupBy(*ids).agg(*[F.sum(c).alias(c) for c in ("n", "n_left", "n_right")])
+        phrases[length] = stored(sums.filter(F.col("n") >= least), "phrase-counts")
+        if length < depth:
+            bitmaps[length] = spark.sparkContext.broadcast(_bitmap(phrases[length], length))  # 1 << BITMAP_BITS bits
     return PhraseCounts(words, known, phrases)
 
 
@@ -333,8 +410,7 @@ def collocations(
     words, known, phrases = count_phrases(documents, text_column, lang_column, 3, least, shard_words)
     totals = words.groupBy("lang").agg(F.sum("n").alias("of"))
     side = lambda name: known.select(F.col("id").alias(f"w{name}"), F.col("n").alias(f"n{name}"))
-    pairs = phrases.filter("w3 IS NULL").drop("w3")
-    triples = phrases.filter("w3 IS NOT NULL")
+    pairs, triples = phrases[2], phrases[3]
 
     part = lambda a, b, name: pairs.select(F.col("w1").alias(a), F.col("w2").alias(b), F.col("n").alias(name))
     cut = triples.join(part("w1", "w2", "n12"), ["w1", "w2"]).join(part("w2", "w3", "n23"), ["w2", "w3"])
