@@ -13,10 +13,13 @@ document; a table of the most frequent pairs is broadcast, the others find their
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import string
 from array import array
 from collections.abc import Callable, Iterator
 from functools import partial
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -26,13 +29,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.llm.common import map_batches, stored, worker_state
-from gridmart.llm.words import WordCache
 
 BYTE_MODEL = "byte_bpe_50k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
-CACHE_BYTES = 60_000_000
+MARKS = string.punctuation
+LAST_PLAIN = "\u0250"  # letters before it are letters to every library
+CACHE_BYTES = 110_000_000
+ENTRY_BYTES = 200
 LONGEST_KEPT = 64
-WINDOW_LIMIT = 250_000
+WINDOW_LIMIT = 500_000
 TABLE_PAIRS = 200_000
 FLUSH_PAIRS = 1_000_000
 _LOW = (1 << 32) - 1
@@ -50,10 +55,12 @@ def byte_letters() -> dict[str, int]:
 
 
 class Vocabulary(NamedTuple):
-    """A tokenizer's ids with their bytes, and how it encodes."""
+    """A tokenizer's ids with their bytes, and how it encodes many texts."""
 
     tokens: list[bytes]
-    encode: Callable[[str], list[int]]
+    encode: Callable[[list[str]], list[list[int]]]
+    parts_marks: bool = False  # never merges letters with the marks behind them
+    plain_words: Callable[[str], list[int]] | None = None  # encodes words of letters with a space before each
 
 
 def byte_vocabulary(path: str) -> Vocabulary:
@@ -66,7 +73,30 @@ def byte_vocabulary(path: str) -> Vocabulary:
     tokens = [b""] * tokenizer.get_vocab_size(with_added_tokens=True)
     for token, i in tokenizer.get_vocab(with_added_tokens=True).items():
         tokens[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode("utf-8")
-    return Vocabulary(tokens, lambda text: tokenizer.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids)
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        coded = tokenizer.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)
+        return [c.ids for c in coded]
+
+    return Vocabulary(tokens, encode, True, _plain_words(path, tokens))
+
+
+def _plain_words(path: str, tokens: list[bytes]) -> Callable[[str], list[int]] | None:
+    """The same merges for words of letters, by a library that is faster at them.
+
+    It takes ids as the order of the merges, so that the file has to number them so; None if it does not.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as source:
+        model = json.load(source)["model"]
+    merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    by_order = sorted(model["vocab"], key=model["vocab"].get)
+    base = [t for t in by_order if len(t) == 1]
+    if len(base) != 256 or by_order[256 : 256 + len(merged)] != merged or by_order[:256] != base:
+        return None
+    ranks = {tokens[model["vocab"][t]]: model["vocab"][t] for t in by_order[: 256 + len(merged)]}
+    return tiktoken.Encoding("words", pat_str=r" ?\p{L}+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
 def piece_vocabulary(path: str) -> Vocabulary:
@@ -77,7 +107,7 @@ def piece_vocabulary(path: str) -> Vocabulary:
     for i in range(model.piece_size()):
         piece = model.id_to_piece(i)
         tokens.append(bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode("utf-8"))
-    return Vocabulary(tokens, model.encode)
+    return Vocabulary(tokens, lambda texts: model.encode(texts, num_threads=1))
 
 
 class Window(NamedTuple):
@@ -86,7 +116,12 @@ class Window(NamedTuple):
 
 
 class _Side:
-    """One tokenizer: whole texts to ids, through the encodings of their words."""
+    """One tokenizer: whole texts to ids, through the encodings of their words.
+
+    Tokens never reach over a space between two other characters than white space, so that a text's ids are
+    those of its words behind a space each. The words that a batch of texts has and the cache lacks are encoded
+    by one call.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self._vocabulary = vocabulary
@@ -95,22 +130,71 @@ class _Side:
         self.names = list(map(str, range(len(vocabulary.tokens))))
         self.sizes = np.array(self.widths, np.int64)
         self.spaced = np.array([t[:1] == b" " for t in vocabulary.tokens])
-        self.faithful = True
-        self._words = WordCache(self._checked, "", limit=CACHE_BYTES)
-
-    def _checked(self, text: str) -> bytes:
-        ids = self._vocabulary.encode(text)
-        if b"".join(map(self._vocabulary.tokens.__getitem__, ids)) != b" " + text.encode("utf-8"):
-            self.faithful = False
-        return array(self.code, ids).tobytes()
+        self._words: dict[str, bytes | None] = {}
+        self._held = 0
 
-    def encode(self, text: str) -> bytes | None:
-        """The ids, or None where their bytes are not those of a space and the text."""
-        self.faithful = True
-        values = self._words.values(text)
-        if values is None:
-            values = [self._checked(text)]
-        return b"".join(values) if self.faithful else None
+    def _ids(self, texts: list[str]) -> list[bytes | None]:
+        """The ids of each text, None where their bytes are not those of a space and the text."""
+        token = self._vocabulary.tokens.__getitem__
+        return [
+            array(self.code, ids).tobytes() if b"".join(map(token, ids)) == b" " + text.encode("utf-8") else None
+            for text, ids in zip(texts, self._vocabulary.encode(texts), strict=True)
+        ]
+
+    def learn(self, words: set[str]) -> None:
+        if self._held > CACHE_BYTES:
+            self._words, self._held = {}, 0
+        known = self._words
+        fresh = [word for word in words if word not in known]
+        if not self._vocabulary.parts_marks:
+            known.update(zip(fresh, self._ids(fresh), strict=True))
+        else:
+            # Marks behind a letter are a piece of their own: the word before them is often known.
+            bodies = {w: w.rstrip(MARKS) for w in fresh if w[-1] in MARKS and w[0].isalpha()}
+            bodies = {w: body for w, body in bodies.items() if body[-1].isalpha() and "<" not in w}
+            whole = {w for w in fresh if w not in bodies} | {body for body in bodies.values() if body not in known}
+            letters = [w for w in whole if self._vocabulary.plain_words and w.isalpha() and max(w) < LAST_PLAIN]
+            known.update(zip(letters, self._ids_of_letters(letters), strict=True))
+            others = list(whole.difference(letters))
+            known.update(zip(others, self._ids(others), strict=True))
+            marks = {w[len(body) :] for w, body in bodies.items()}
+            marked = dict(zip(marks, map(self._marks, marks), strict=True))
+            for w, body in bodies.items():
+                known[w] = None if known[body] is None else known[body] + marked[w[len(body) :]]
+        self._held += sum(map(len, fresh)) + ENTRY_BYTES * len(fresh)
+
+    def _ids_of_letters(self, words: list[str]) -> list[bytes]:
+        """The ids of words of letters alone: they start at the tokens with a space, and no other has one."""
+        if not words:
+            return []
+        joined = " " + " ".join(words)
+        ids = np.array(self._vocabulary.plain_words(joined), self.code)
+        if int(self.sizes[ids].sum()) != len(joined.encode("utf-8")):
+            raise ValueError("the vocabulary lacks a byte")
+        data, starts = ids.tobytes(), np.flatnonzero(self.spaced[ids]) * ids.itemsize
+        ends = [*starts[1:].tolist(), len(data)]
+        return [data[i:j] for i, j in zip(starts.tolist(), ends, strict=True)]
+
+    def _marks(self, marks: str) -> bytes:
+        """Ids of marks alone, as they are behind a letter."""
+        ids = self._vocabulary.encode(["x" + marks])[0]
+        return array(self.code, ids[1:]).tobytes()
+
+    def encode(self, text: str, words: list[str] | None) -> bytes | None:
+        """The ids of a text, of its ``words`` if it can be taken apart; None if they do not give it back."""
+        if words is None:
+            return self._ids([text])[0]
+        values = [*map(self._words.__getitem__, words)]
+        return None if None in values else b"".join(values)
+
+
+def apart(text: str) -> list[str] | None:
+    """The words of a text, or None where white space adjoins a space, or where a space's sign stands."""
+    words = text.split(" ")
+    for word in words:
+        if not word or word[0].isspace() or word[-1].isspace():
+            return None
+    return None if "▁" in text else words
 
 
 class Aligner:
@@ -122,17 +206,20 @@ class Aligner:
 
     def _window(self, key: tuple[bytes, bytes]) -> Window:
         a, b = memoryview(key[0]).cast(self._a.code), memoryview(key[1]).cast(self._b.code)
-        widths_a, widths_b, names_a, names_b = self._a.widths, self._b.widths, self._a.names, self._b.names
-        groups, links, from_a, from_b, to_b, end_a, end_b = [], [], 0, 0, 0, 0, 0
-        for to_a, last in enumerate(a, 1):
-            end_a += widths_a[last]
-            while end_b < end_a:
-                end_b += widths_b[b[to_b]]
-                to_b += 1
-            if end_a == end_b:
+        names_a, names_b = self._a.names, self._b.names
+        ends_a = [*accumulate(map(self._a.widths.__getitem__, a))]
+        ends_b = [*accumulate(map(self._b.widths.__getitem__, b))]
+        if ends_a == ends_b:
+            groups = [f"{names_a[x]}|{names_b[y]}" for x, y in zip(a, b, strict=True)]
+            return Window(";".join(groups), array("q", [x << 32 | y for x, y in zip(a, b, strict=True)]).tobytes())
+        place_b = {end: i for i, end in enumerate(ends_b, 1)}
+        groups, links, from_a, from_b = [], [], 0, 0
+        for to_a, end in enumerate(ends_a, 1):
+            if end in place_b:
+                to_b = place_b[end]
                 own_a, own_b = [names_a[i] for i in a[from_a:to_a]], [names_b[i] for i in b[from_b:to_b]]
                 groups.append(f"{','.join(own_a)}|{','.join(own_b)}")
-                links.append(last << 32 | b[to_b - 1])
+                links.append(a[to_a - 1] << 32 | b[to_b - 1])
                 from_a, from_b = to_a, to_b
         return Window(";".join(groups), array("q", links).tobytes())
 
@@ -169,22 +256,26 @@ class Aligner:
             )
         )
 
-    def align(self, text: str | None) -> tuple[int, int, str, np.ndarray]:
-        """Tokens of A, tokens of B, the groups as text, and a pair of ids for each link (A's in the upper 32 bits).
-
-        All are empty where a side's tokens do not give the text back.
+    def align(self, texts: list[str | None]) -> Iterator[tuple[int, int, str, np.ndarray]]:
+        """Of each text: tokens of A, tokens of B, the groups as text, and a pair of ids for each link
+        (A's in the upper 32 bits). All are empty where a side's tokens do not give the text back.
         """
-        if not text:
-            return 0, 0, "", np.empty(0, np.int64)
-        ids_a = self._a.encode(text)
-        ids_b = self._b.encode(text) if ids_a is not None else None
-        if ids_a is None or ids_b is None:
-            return 0, 0, "", np.empty(0, np.int64)
+        split = [apart(text) if text else None for text in texts]
+        words = set().union(*filter(None, split))
+        self._a.learn(words)
+        self._b.learn(words)
+        del words
         get, kept = self._windows.get, self._kept
-        found = [get(key) or kept(key) for key in self.windows(ids_a, ids_b)]
-        links = np.frombuffer(b"".join([w.links for w in found]), np.int64)
-        groups = ";".join([w.groups for w in found])
-        return len(ids_a) // array(self._a.code).itemsize, len(ids_b) // array(self._b.code).itemsize, groups, links
+        size_a, size_b = array(self._a.code).itemsize, array(self._b.code).itemsize
+        for text, own in zip(texts, split, strict=True):
+            ids_a = self._a.encode(text, own) if text else None
+            ids_b = self._b.encode(text, own) if ids_a is not None else None
+            if ids_a is None or ids_b is None:
+                yield 0, 0, "", np.empty(0, np.int64)
+                continue
+            found = [get(key) or kept(key) for key in self.windows(ids_a, ids_b)]
+            links = np.frombuffer(b"".join([w.links for w in found]), np.int64)
+            yield len(ids_a) // size_a, len(ids_b) // size_b, ";".join([w.groups for w in found]), links
 
 
 def _paths(byte_path: str | None, piece_path: str | None) -> tuple[str, str]:
@@ -210,8 +301,7 @@ def _align(
     for batch in batches:
         aligner = worker_state(("aligner", byte_path, piece_path), lambda: new_aligner(byte_path, piece_path))
         rows = []
-        for text in batch.column("text").to_pylist():
-            n_a, n_b, groups, links = aligner.align(text)
+        for n_a, n_b, groups, links in aligner.align(batch.column("text").to_pylist()):
             pairs, times = np.unique(links, return_counts=True)
             digest = hashlib.sha256(groups.encode("ascii")).hexdigest() if groups else ""
             row = (n_a, n_b, len(links), digest, pairs.tobytes(), times.astype(np.uint32).tobytes())

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from gridmart.llm.common import map_batches, stored
 
-SHARD_WORDS = 1_500_000
+SHARD_WORDS = 750_000
 OUT_ROWS = 200_000
 SALTS = 256
 BITMAP_BITS = 26
@@ -80,9 +80,8 @@ class HalfIndex:
 
     def __init__(self, rows: np.ndarray):
         self.rows = rows
-        order = np.argsort(rows, kind="stable")
-        self._step = np.empty(len(rows), np.int64)
-        self._step[order] = np.arange(len(rows))
+        self._step = np.empty(len(rows), np.int32)
+        self._step[np.argsort(rows, kind="stable")] = np.arange(len(rows), dtype=np.int32)
         self.starts = np.concatenate([[0], np.cumsum(np.bincount(rows))])
         self._extended = np.concatenate([[0], np.cumsum(rows != 0)])
 
@@ -166,11 +165,12 @@ def phrase_places(ids: list[np.ndarray]) -> np.ndarray:
 
 
 def _set_bits(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros(1 << BITMAP_BITS, bool)
+    bits = np.zeros(1 << BITMAP_BITS - 3, np.uint8)
     for batch in batches:
         if batch.num_rows:
-            bits[phrase_places([batch.column(i).to_numpy() for i in range(length)])] = True
-    packed = np.packbits(bits, bitorder="little").view("<i8")
+            places = phrase_places([batch.column(i).to_numpy() for i in range(length)])
+            np.bitwise_or.at(bits, places >> 3, np.uint8(1) << (places & 7).astype(np.uint8))
+    packed = bits.view("<i8")
     used = np.flatnonzero(packed)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(packed[used])], ["place", "bits"])
 
