@@ -52,7 +52,11 @@ def _arguments() -> argparse.ArgumentParser:
     seeds = step("seed", "load the seed files", "--authorities", "--warehouse")
     seeds.add_argument("--types", help="type seed; the built-in types if left out")
     step("build", "rebuild the fact", "--warehouse")
-    days(step("refresh", "rebuild some days of the fact", "--warehouse"))
+    refresh = step("refresh", "rebuild some days of the fact", "--warehouse")
+    which = refresh.add_mutually_exclusive_group(required=True)
+    which.add_argument("--changed", action="store_true", help="the days that appends have touched since")
+    which.add_argument("--first", type=parse_day, help="first day")
+    refresh.add_argument("--last", type=parse_day, help="last day; the first if left out")
     check = step("check", "run the data checks", "--warehouse")
     check.add_argument("--first", type=parse_day, help="first day; all if left out")
     check.add_argument("--last", type=parse_day, help="last day; the first if left out")
@@ -105,6 +109,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         house.load_seeds(read_authority_seed(spark, args.authorities), types)
     elif args.step == "build":
         house.build_fact()
+    elif args.step == "refresh" and args.changed:
+        changed = house.refresh_changed()
+        print("all days" if changed is None else f"{len(changed)} days", "rebuilt")
     elif args.step == "refresh":
         house.refresh_fact(first, last)
     elif args.step == "check":

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -36,6 +36,14 @@ def clean(raw: DataFrame, feed: Feed, rejected: Observation | None = None) -> Da
     )
 
 
+def readable(raw: DataFrame, feed: Feed) -> DataFrame:
+    """The raw rows that ``clean`` keeps, as they came, with their hour in ``_hour``."""
+    names = {new: old for old, new in feed.renames.items()}
+    typed = {"period": hour_period(F.col("period")), "value": whole_number(F.col("value"))}
+    present = (typed.get(c, F.col(f"`{names.get(c, c)}`")).isNotNull() for c in feed.required)
+    return raw.filter(reduce(and_, present)).withColumn("_hour", typed["period"])
+
+
 def rejected_rows(raw: DataFrame, feed: Feed) -> DataFrame:
     """One row: how many rows a feed has and how many of them ``clean`` drops."""
     return conform(raw, feed).agg(

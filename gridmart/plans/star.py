@@ -87,6 +87,15 @@ def refresh_fact(fact: DataFrame, table: Table, first: date, last: date) -> None
     table.replace_partitions(_laid_out(days))
 
 
+def in_calendar(day: date) -> bool:
+    return date.fromisoformat(CALENDAR_START) <= day <= date.fromisoformat(CALENDAR_END)
+
+
+def replace_days(fact: DataFrame, table: Table) -> None:
+    """Replace the stored days that the rows belong to; days off the calendar are one of them."""
+    table.replace_partitions(_laid_out(fact))
+
+
 def day_keys(first: date, last: date) -> tuple[int, int]:
     """Day keys of a date range, as constants Catalyst can prune partitions with."""
     return int(first.strftime("%Y%m%d")), int(last.strftime("%Y%m%d"))

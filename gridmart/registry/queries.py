@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 from functools import reduce, wraps
 
@@ -15,6 +16,7 @@ from gridmart.operators.dedup import unseen, with_content_id
 from gridmart.operators.unify import single_authority
 from gridmart.plans import dashboard, dimensions, grid_map, quality
 from gridmart.plans.star import Star, fact_table, write_fact
+from gridmart.plans.warehouse import Warehouse
 from gridmart.registry import feeds as source
 from gridmart.schemas import FEEDS, FUEL_TYPE, INTERCHANGE, REGION, Feed
 from gridmart.session import apply_settings, new_table_path
@@ -458,14 +460,52 @@ def stream_append(spark, sf_dir):
 
 @_register
 def stream_dedup(spark, sf_dir):
-    """The same runs in several micro-batches, the newest files first."""
+    """The same runs in several micro-batches, the newest files first: repeats are dropped by the
+    stream's state, and the older days, all late by then, by comparing with what is stored."""
     root = new_table_path(spark, "landing")
     _land_all(spark, sf_dir, FUEL_TYPE, root)
     table = _empty_table(spark, FUEL_TYPE)
-    ingest.start_append(
-        ingest.landed_stream(spark, root, FUEL_TYPE, max_files_per_trigger=8, newest_first=True),
-        table,
-        FUEL_TYPE,
-        new_table_path(spark, "progress"),
-    ).awaitTermination()
+    progress = new_table_path(spark, "progress")
+    ingest.append_deduplicated(spark, root, table, FUEL_TYPE, progress, max_files_per_trigger=64, newest_first=True)
+    return table.read(spark).drop("day")
+
+
+# Late rows and runs that overlap
+
+
+@_register
+def append_overlapping(spark, sf_dir):
+    """Two runs append the same feed at the same time: each observation is stored once."""
+    raw = source.raw_feeds(spark, sf_dir)["region"]
+    table = _empty_table(spark, REGION)
+    with ThreadPoolExecutor(2) as runs:
+        for run in [runs.submit(staging.append_new, spark, raw, table, REGION) for _ in range(2)]:
+            run.result()
+    return table.read(spark).drop("day")
+
+
+@_register
+def append_late_hour(spark, sf_dir):
+    """All hours but one, then the whole day of that one: the stored day is narrowed to the batch's keys."""
+    raw = source.raw_feeds(spark, sf_dir)["interchange"]
+    table = _empty_table(spark, INTERCHANGE)
+    hour = f"{MAP_DAY}T{MAP_HOUR:02d}"
+    staging.append_new(spark, raw.filter(~F.col("period").eqNullSafe(hour)), table, INTERCHANGE)
+    staging.append_new(spark, raw.filter(F.col("period").startswith(f"{MAP_DAY}")), table, INTERCHANGE)
     return table.read(spark).drop("day")
+
+
+@_register
+def refresh_changed(spark, sf_dir):
+    """A fact built without the rows of one day, which then come late and are found by the change log."""
+    house = Warehouse(spark, new_table_path(spark, "warehouse"))
+    late = F.col("period").startswith(f"{MAP_DAY}")
+    feeds = source.raw_feeds(spark, sf_dir)
+    for name, raw in feeds.items():
+        house.append(raw.filter(~F.coalesce(late, F.lit(False))), FEEDS[name])
+    house.load_seeds(source.authority_seed(spark, sf_dir), dimensions.type_seed(spark))
+    house.build_fact()
+    for name, raw in feeds.items():
+        house.append(raw.filter(late), FEEDS[name])
+    house.refresh_changed()
+    return house.fact_table.read(spark)
