@@ -158,7 +158,7 @@ def identify(
     dictionaries: dict[str, bytes] | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score and rejected, after the columns
-    named in ``keep`` (whole rows, for filtering).
+    named in ``keep`` as __kept_0, __kept_1, ... (whole rows, for filtering).
 
     Null texts and texts without a letter are ``und`` with score 0, rejected; so is everything if
     no language could be learnt. Ties of the sizes are broken by the pieces of 3 to 5 bytes that a dictionary
@@ -182,6 +182,18 @@ def identify(
     schema = ", ".join(f"{c} {kinds[c]}" for c in passed) + ", lang_pred string, score double, rejected boolean"
     run = partial(_classify_batches, key=key, margin=margin, shared=shared, passed=passed)
     found = map_batches(texts, run, schema)
-    for column, name in zip(keep, names, strict=True):
-        found = found.withColumnRenamed(name, column) if column != "doc_id" else found.drop(name)
     return found
+
+
+def confident_documents(
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    lang_column: str = "lang",
+    margin: float = MARGIN,
+) -> DataFrame:
+    """The documents whose language is told clearly, with all their columns, whatever these are called."""
+    columns = documents.columns
+    found = identify(documents, id_column, text_column, lang_column, margin, keep=tuple(columns))
+    clear = found.filter(~F.col("rejected"))
+    return clear.select(*[F.col(f"__kept_{i}").alias(c) for i, c in enumerate(columns)])

@@ -8,7 +8,8 @@ import pytest
 
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, "
-    "size int, shard string, token double, key string, word string, n int, copies string, votes int"
+    "size int, shard string, token double, key string, word string, n int, copies string, votes int, "
+    "score string, rejected int, lang_pred int, held_out string, matches string, rank int, row string, pairs int"
 )
 SYLLABLES = {
     "en": "the and ing tion ed er th wh sh ou re".split(),
@@ -24,7 +25,8 @@ def sentence(seed: int, words: int, lang: str = "en") -> str:
 
 def documents(spark, rows):
     """Rows of (doc_id, text, lang, source), with columns that clash with names used inside."""
-    full = [(i, t, lang, s, None if t is None else len(t), 1, "x", 0.5, "k", "w", 7, "c", 3) for i, t, lang, s in rows]
+    clashing = (1, "x", 0.5, "k", "w", 7, "c", 3, "s", 1, 2, "h", "m", 3, "r", 4)
+    full = [(i, t, lang, s, None if t is None else len(t), *clashing) for i, t, lang, s in rows]
     return spark.createDataFrame(full, SCHEMA).repartition(3)
 
 
