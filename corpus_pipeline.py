@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gridmart.llm import byte_pairs, jaccard, language_id, mixing, quality_rules
 from gridmart.llm.common import read_documents, stored
@@ -15,8 +14,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told clearly by compression."""
-    found = language_id.identify(docs, keep=tuple(docs.columns))
-    return found.filter(~F.col("rejected")).select(*docs.columns)
+    return language_id.confident_documents(docs)
 
 
 def rule_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
