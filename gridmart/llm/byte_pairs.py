@@ -23,8 +23,9 @@ from gridmart.llm.common import id_and_text, map_batches, worker_state
 from gridmart.llm.words import WordCache
 
 RANKS = "byte_bpe_50k.tiktoken"
-PAIR_LIMIT = 300_000
-PIECE_LIMIT = 150_000
+PAIR_LIMIT = 200_000
+PIECE_LIMIT = 100_000
+WORD_BYTES = 60_000_000
 LONGEST_KEPT = 100
 
 
@@ -151,7 +152,7 @@ class TextEncoder:
         self._encoder = BytePairEncoder(read_ranks(path))
         tokens = self._encoder.token
         self._token = [tokens.get(rank, b"") for rank in range(max(tokens) + 1)]
-        self._words = WordCache(self._whole, " ")
+        self._words = WordCache(self._whole, " ", limit=WORD_BYTES)
         self._kept: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:

@@ -42,6 +42,7 @@ from gridmart.llm.components import connected_components
 
 SKETCH_BITS = 23
 SKETCH_PARTS = 256
+LOG_STEPS = 2_900
 NEAR_PERCENT = 50
 OUT_ROWS = 50_000
 OUTLIER_BLOCK = 2_048
@@ -137,18 +138,22 @@ def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sketch(described: DataFrame) -> np.ndarray:
-    """Counts of all tokens of the corpus, by the first bits of their hashes."""
+    """Logarithms of the counts of all tokens of the corpus, by the first bits of their hashes.
+
+    They only order tokens: two bytes each are fine enough for that.
+    """
     parts = described.filter(F.col("part").isNotNull()).select("part", "counts").repartition("part")
     counts = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.int64)
     for row in map_batches(parts, _add_counts, "part int, counts binary").collect():  # 8 bytes << SKETCH_BITS
         counts[row["part"]] += np.frombuffer(zlib.decompress(row["counts"]), np.int64)
-    return np.minimum(counts.ravel(), np.iinfo(np.uint32).max).astype(np.uint32)
+    return np.minimum(np.log1p(counts.ravel()) * LOG_STEPS, np.iinfo(np.uint16).max).astype(np.uint16)
 
 
 def _prefixes(
     batches: Iterator[pa.RecordBatch], words_each: int, percent: int, shared: Broadcast
 ) -> Iterator[pa.RecordBatch]:
     """The index entries of every set: token, half its identity, size and position in the common order."""
+    worker_state("jaccard", dict)
     counts = shared.value
     shift = np.uint64(64 - SKETCH_BITS)
     rows: list[tuple] = []
@@ -185,6 +190,7 @@ def _entries(rows: list[tuple]) -> pa.RecordBatch:
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compressed texts: they take less than half of their sets' room, and give the sets again."""
+    worker_state("jaccard", dict)
     for batch in batches:
         packed = [zlib.compress(text.encode("utf-8"), 1) for text in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(packed, pa.binary())], ["node", "packed"])
@@ -197,6 +203,7 @@ def _unpacked(packed: bytes, words_each: int) -> np.ndarray:
 def _compare(batches: Iterator[pa.RecordBatch], words_each: int, percent: int, near: int) -> Iterator[pa.RecordBatch]:
     """Differences of a set to a root: root_size, cost and the tokens in which they differ, null where the
     similarity is below ``near`` percent."""
+    worker_state("jaccard", dict)
     for batch in batches:
         sizes, costs, differences = [], [], []
         for own, root in zip(batch.column("own").to_pylist(), batch.column("other").to_pylist(), strict=True):
@@ -380,7 +387,7 @@ def _classes(
         f"doc_id {id_type}, text_hash bigint, n int, c1 bigint, c2 bigint, part int, counts binary",
     )
     described = stored(described, "jaccard-documents")
-    shared = spark.sparkContext.broadcast(_sketch(described))  # 4 bytes << SKETCH_BITS
+    shared = spark.sparkContext.broadcast(_sketch(described))  # 2 bytes << SKETCH_BITS
     described = described.filter(F.col("part").isNull()).select("doc_id", "text_hash", "n", "c1", "c2")
 
     prefixes = map_batches(
