@@ -19,7 +19,7 @@ import string
 from array import array
 from collections.abc import Callable, Iterator
 from functools import partial
-from itertools import accumulate
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -135,10 +135,16 @@ class _Side:
 
     def _ids(self, texts: list[str]) -> list[bytes | None]:
         """The ids of each text, None where their bytes are not those of a space and the text."""
-        token = self._vocabulary.tokens.__getitem__
+        token, code = self._vocabulary.tokens.__getitem__, self.code
+        coded = self._vocabulary.encode(texts)
+        wanted = [f" {text}".encode() for text in texts]
+        # Mostly all are right, which one comparison tells.
+        if b"".join(map(token, chain.from_iterable(coded))) == b"".join(wanted):
+            return [array(code, ids).tobytes() for ids in coded]
+        given = (b"".join(map(token, ids)) for ids in coded)
         return [
-            array(self.code, ids).tobytes() if b"".join(map(token, ids)) == b" " + text.encode("utf-8") else None
-            for text, ids in zip(texts, self._vocabulary.encode(texts), strict=True)
+            array(code, ids).tobytes() if own == bytes_ else None
+            for ids, own, bytes_ in zip(coded, given, wanted, strict=True)
         ]
 
     def learn(self, words: set[str]) -> None:
@@ -180,12 +186,13 @@ class _Side:
         ids = self._vocabulary.encode(["x" + marks])[0]
         return array(self.code, ids[1:]).tobytes()
 
-    def encode(self, text: str, words: list[str] | None) -> bytes | None:
-        """The ids of a text, of its ``words`` if it can be taken apart; None if they do not give it back."""
-        if words is None:
-            return self._ids([text])[0]
-        values = [*map(self._words.__getitem__, words)]
-        return None if None in values else b"".join(values)
+    def encode(self, text: str) -> bytes | None:
+        """The ids of a whole text, None if they do not give it back."""
+        return self._ids([text])[0]
+
+    def of_words(self, words: list[str]) -> list[bytes | None]:
+        """The ids of each word that was learnt."""
+        return [*map(self._words.__getitem__, words)]
 
 
 def apart(text: str) -> list[str] | None:
@@ -205,22 +212,20 @@ class Aligner:
         self._windows: dict[tuple[bytes, bytes], Window] = {}
 
     def _window(self, key: tuple[bytes, bytes]) -> Window:
-        a, b = memoryview(key[0]).cast(self._a.code), memoryview(key[1]).cast(self._b.code)
-        names_a, names_b = self._a.names, self._b.names
-        ends_a = [*accumulate(map(self._a.widths.__getitem__, a))]
-        ends_b = [*accumulate(map(self._b.widths.__getitem__, b))]
-        if ends_a == ends_b:
-            groups = [f"{names_a[x]}|{names_b[y]}" for x, y in zip(a, b, strict=True)]
-            return Window(";".join(groups), array("q", [x << 32 | y for x, y in zip(a, b, strict=True)]).tobytes())
-        place_b = {end: i for i, end in enumerate(ends_b, 1)}
-        groups, links, from_a, from_b = [], [], 0, 0
-        for to_a, end in enumerate(ends_a, 1):
-            if end in place_b:
-                to_b = place_b[end]
-                own_a, own_b = [names_a[i] for i in a[from_a:to_a]], [names_b[i] for i in b[from_b:to_b]]
-                groups.append(f"{','.join(own_a)}|{','.join(own_b)}")
-                links.append(a[to_a - 1] << 32 | b[to_b - 1])
-                from_a, from_b = to_a, to_b
+        a, b = array(self._a.code, key[0]), iter(array(self._b.code, key[1]))
+        widths_a, widths_b, names_a, names_b = self._a.widths, self._b.widths, self._a.names, self._b.names
+        groups, links, own_a, own_b, end_a, end_b, other = [], [], "", "", 0, 0, 0
+        for last in a:
+            end_a += widths_a[last]
+            own_a = f"{own_a},{names_a[last]}" if own_a else names_a[last]
+            while end_b < end_a:
+                other = next(b)
+                end_b += widths_b[other]
+                own_b = f"{own_b},{names_b[other]}" if own_b else names_b[other]
+            if end_a == end_b:
+                groups.append(f"{own_a}|{own_b}")
+                links.append(last << 32 | other)
+                own_a = own_b = ""
         return Window(";".join(groups), array("q", links).tobytes())
 
     def _kept(self, key: tuple[bytes, bytes]) -> Window:
@@ -234,7 +239,11 @@ class Aligner:
         return found
 
     def windows(self, ids_a: bytes, ids_b: bytes) -> list[tuple[bytes, bytes]]:
-        """The ids of both sides between anchors, as bytes."""
+        """The ids of both sides between anchors, as bytes.
+
+        For a text taken apart these are the ids of its words: both sides' start with the space before the
+        word, hold no other, and were found to cover the same bytes.
+        """
         side_a, side_b = self._a, self._b
         a, b = np.frombuffer(ids_a, side_a.code), np.frombuffer(ids_b, side_b.code)
         start_a, start_b = (np.cumsum(side.sizes[ids]) - side.sizes[ids] for side, ids in ((side_a, a), (side_b, b)))
@@ -268,14 +277,19 @@ class Aligner:
         get, kept = self._windows.get, self._kept
         size_a, size_b = array(self._a.code).itemsize, array(self._b.code).itemsize
         for text, own in zip(texts, split, strict=True):
-            ids_a = self._a.encode(text, own) if text else None
-            ids_b = self._b.encode(text, own) if ids_a is not None else None
-            if ids_a is None or ids_b is None:
+            if own is None:
+                ids_a = [self._a.encode(text) if text else None]
+                ids_b = [self._b.encode(text) if ids_a[0] is not None else None]
+            else:
+                ids_a, ids_b = self._a.of_words(own), self._b.of_words(own)
+            if None in ids_a or None in ids_b:
                 yield 0, 0, "", np.empty(0, np.int64)
                 continue
-            found = [get(key) or kept(key) for key in self.windows(ids_a, ids_b)]
+            keys = self.windows(ids_a[0], ids_b[0]) if own is None else zip(ids_a, ids_b, strict=True)
+            found = [get(key) or kept(key) for key in keys]
             links = np.frombuffer(b"".join([w.links for w in found]), np.int64)
-            yield len(ids_a) // size_a, len(ids_b) // size_b, ";".join([w.groups for w in found]), links
+            n_a, n_b = sum(map(len, ids_a)) // size_a, sum(map(len, ids_b)) // size_b
+            yield n_a, n_b, ";".join([w.groups for w in found]), links
 
 
 def _paths(byte_path: str | None, piece_path: str | None) -> tuple[str, str]:

@@ -179,7 +179,7 @@ def _bitmap(phrases: DataFrame, length: int) -> np.ndarray:
     """Which bits the phrases have: 1 << BITMAP_BITS bits, whatever their number."""
     ids = phrases.select(*[f"w{k}" for k in range(1, length + 1)])
     found = map_batches(ids, partial(_set_bits, length=length), "place bigint, bits bigint")
-    rows = found.groupBy("place").agg(F.bit_or("bits").alias("bits")).toPandas()  # 1 << BITMAP_BITS - 6 rows
+    rows = found.groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()  # 1 << BITMAP_BITS - 6 rows
     packed = np.zeros(1 << BITMAP_BITS - 6, "<i8")
     packed[rows["place"].to_numpy()] = rows["bits"].to_numpy()
     return packed.view(np.uint8)

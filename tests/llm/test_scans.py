@@ -254,10 +254,15 @@ def test_alignment_is_that_of_plain_lists(spark, libraries, table_pairs):
 def test_windows_start_at_spaces_and_hold_all_ids():
     aligner = alignment.new_aligner()
     text = "The quick brown fox, überall  und\nnirgends 漢字 x"
-    a, b = aligner._a.encode(text, None), aligner._b.encode(text, None)
+    a, b = aligner._a.encode(text), aligner._b.encode(text)
     windows = aligner.windows(a, b)
     assert b"".join(w for w, _ in windows) == a and b"".join(w for _, w in windows) == b
     assert len(windows) > 5
+    plain = "The quick brown fox, überall und\nnirgends 漢字 x"
+    aligner.align([plain])
+    words = alignment.apart(plain)
+    own = list(zip(aligner._a.of_words(words), aligner._b.of_words(words), strict=True))
+    assert own == aligner.windows(aligner._a.encode(plain), aligner._b.encode(plain))
     twice, once = aligner.align([text + " " + text, text])
     assert twice[2].startswith(once[2])
 
