@@ -259,7 +259,7 @@ def test_windows_start_at_spaces_and_hold_all_ids():
     assert b"".join(w for w, _ in windows) == a and b"".join(w for _, w in windows) == b
     assert len(windows) > 5
     plain = "The quick brown fox, überall und\nnirgends 漢字 x"
-    aligner.align([plain])
+    list(aligner.align([plain]))
     words = alignment.apart(plain)
     own = list(zip(aligner._a.of_words(words), aligner._b.of_words(words), strict=True))
     assert own == aligner.windows(aligner._a.encode(plain), aligner._b.encode(plain))
