@@ -46,7 +46,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("byte_level_bpe", encode),
 ]
 
-# Compression and byte-level merges have no SQL; tests hold every stage against a plain version.
+# Compression and byte-level merges have no SQL. Tests check the stages one by one, not yet run() against a plain pipeline.
 ORACLE_SQL: str | None = None
 
 
