@@ -63,25 +63,31 @@ class Vocabulary(NamedTuple):
     plain_words: Callable[[str], list[int]] | None = None  # encodes words of letters with a space before each
 
 
+def token_bytes(tokenizer) -> list[bytes]:
+    """The bytes of each id of a byte-level tokenizer."""
+    letters = byte_letters()
+    tokens = [b""] * tokenizer.get_vocab_size(with_added_tokens=True)
+    for token, i in tokenizer.get_vocab(with_added_tokens=True).items():
+        tokens[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode("utf-8")
+    return tokens
+
+
 def byte_vocabulary(path: str) -> Vocabulary:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    letters = byte_letters()
-    tokens = [b""] * tokenizer.get_vocab_size(with_added_tokens=True)
-    for token, i in tokenizer.get_vocab(with_added_tokens=True).items():
-        tokens[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode("utf-8")
+    tokens = token_bytes(tokenizer)
 
     def encode(texts: list[str]) -> list[list[int]]:
         coded = tokenizer.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)
         return [c.ids for c in coded]
 
-    return Vocabulary(tokens, encode, True, _plain_words(path, tokens))
+    return Vocabulary(tokens, encode, True, letter_words(path, tokens))
 
 
-def _plain_words(path: str, tokens: list[bytes]) -> Callable[[str], list[int]] | None:
+def letter_words(path: str, tokens: list[bytes]) -> Callable[[str], list[int]] | None:
     """The same merges for words of letters, by a library that is faster at them.
 
     It takes ids as the order of the merges, so that the file has to number them so; None if it does not.
@@ -89,7 +95,10 @@ def _plain_words(path: str, tokens: list[bytes]) -> Callable[[str], list[int]] |
     import tiktoken
 
     with open(path, encoding="utf-8") as source:
-        model = json.load(source)["model"]
+        spec = json.load(source)
+    model = spec["model"]
+    if spec.get("normalizer") or model.get("type") != "BPE":
+        return None
     merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
     by_order = sorted(model["vocab"], key=model["vocab"].get)
     base = [t for t in by_order if len(t) == 1]

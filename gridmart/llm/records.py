@@ -18,11 +18,13 @@ from collections.abc import Iterator
 from functools import lru_cache, partial
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridmart.llm.alignment import LAST_PLAIN, letter_words, token_bytes
 from gridmart.llm.common import map_batches, stored, worker_state
 from gridmart.llm.words import WordCache
 from gridmart.session import new_table_path
@@ -106,7 +108,11 @@ def _as_uri(path: str) -> str:
 
 
 class IdEncoder:
-    """Texts to token ids with the tokenizers library, words encoded once per worker."""
+    """Texts to token ids with the tokenizers library.
+
+    The words that a batch of texts has and the cache lacks are encoded by one call; plain words of letters
+    by the same merges in a library that is faster at them.
+    """
 
     def __init__(self, path: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -117,24 +123,63 @@ class IdEncoder:
 
             path = public_tokenizers.path(VOCABULARY)
         self._tokenizer = Tokenizer.from_file(path)
-        self.code = "H" if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
-        self._words = WordCache(self._encode, " ")
+        tokens = token_bytes(self._tokenizer)
+        self.code = "H" if len(tokens) <= 1 << 16 else "I"
+        self._spaced = np.array([t[:1] == b" " for t in tokens])
+        self._sizes = np.array([len(t) for t in tokens], np.int64)
+        self._letters = letter_words(path, tokens)
+        self._words = WordCache(self._whole, " ")
         self._marks = lru_cache(10_000)(self._whole)
 
-    def _encode(self, text: str) -> bytes:
-        # Marks behind a letter are a piece of their own: the word before them is often known.
-        body = text.rstrip(MARKS)
-        if text[0] == " " and len(body) < len(text) and body[-1].isalpha() and body[1].isalpha() and "<" not in text:
-            return self._words.word(body[1:]) + self._marks(text[len(body) :])
-        return self._whole(text)
-
     def _whole(self, text: str) -> bytes:
-        return array(self.code, self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+        return self._all([text])[0]
+
+    def _all(self, texts: list[str]) -> list[bytes]:
+        coded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array(self.code, c.ids).tobytes() for c in coded]
+
+    def _of_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters with a space before each: they start at the tokens with a space."""
+        if not words:
+            return []
+        joined = " " + " ".join(words)
+        ids = np.array(self._letters(joined), self.code)
+        if int(self._sizes[ids].sum()) != len(joined.encode("utf-8")):
+            raise ValueError("the vocabulary lacks a byte")
+        data, starts = ids.tobytes(), (np.flatnonzero(self._spaced[ids]) * ids.itemsize).tolist()
+        return [data[i:j] for i, j in zip(starts, [*starts[1:], len(data)], strict=True)]
+
+    def learn(self, words: set[str]) -> None:
+        """Take words into the cache, as they are behind a space."""
+        fresh = self._words.lacking(words)
+        # Marks behind a letter are a piece of their own: the word before them is often known.
+        bodies = {w: w.rstrip(MARKS) for w in fresh if w[-1] in MARKS and w[0].isalpha() and "<" not in w}
+        bodies = {w: body for w, body in bodies.items() if body[-1].isalpha()}
+        whole = {w for w in fresh if w not in bodies}.union(self._words.lacking(set(bodies.values())))
+        letters = [w for w in whole if self._letters and w.isalpha() and max(w) < LAST_PLAIN]
+        others = list(whole.difference(letters))
+        self._words.put(letters, self._of_letters(letters))
+        self._words.put(others, self._all([" " + w for w in others]))
+        self._words.put([*bodies], [self._words.word(b) + self._marks(w[len(b) :]) for w, b in bodies.items()])
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        starts, words = set(), set()
+        for text in texts:
+            first, *others = text.split(" ")
+            starts.add(first)
+            words.update(others)
+        self.learn(words)
+        firsts = dict(zip(starts, self._all([*starts]), strict=True))
+        return [self._joined(text, firsts) for text in texts]
 
     def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
+
+    def _joined(self, text: str, firsts: dict[str, bytes]) -> bytes:
         if not text:
             return b""
-        values = self._words.values(text)
+        values = self._words.values(text, firsts.__getitem__)
         return self._whole(text) if values is None else b"".join(values)
 
 
@@ -149,13 +194,14 @@ def _write(
         encoder = worker_state(("token ids", path), lambda: IdEncoder(path))
         width = array(encoder.code).itemsize
         end = array(encoder.code, [end_id]).tobytes()
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        coded = encoder.encode_all(batch.column("text").to_pylist())
+        for doc_id, own in zip(batch.column("doc_id").to_pylist(), coded, strict=True):
             if target is None:
                 filesystem, place = _filesystem(name)
                 filesystem.create_dir(os.path.dirname(place), recursive=True)
                 target = filesystem.open_output_stream(f"{place}.records", buffer_size=BUFFER_BYTES)
                 index = filesystem.open_output_stream(f"{place}.index", buffer_size=BUFFER_BYTES)
-            ids = encoder.encode(text) + end
+            ids = own + end
             data = frame(doc_id, ids, width)
             target.write(data)
             index.write(ENTRY.pack(offset, len(ids) // width))

@@ -58,11 +58,24 @@ class WordCache:
         """The encoding of one word behind its lead."""
         return self._known[word]
 
-    def values(self, text: str) -> list | None:
-        """The encodings of the words of a text, in order; None where spaces adjoin other white
-        space, so that the text has to be encoded whole."""
+    def lacking(self, words: set[str]) -> list[str]:
+        """Those that the cache does not hold and that can be encoded on their own."""
         if self._known.held > self._limit:
             self._known = _Encodings(self._encode, self._lead, self._start)
+        fresh = words.difference(self._known)
+        return [w for w in fresh if w and not w[0].isspace() and not w[-1].isspace() and "▁" not in w]
+
+    def put(self, words: list[str], encodings: list) -> None:
+        """Keep what ``word`` would have made of each."""
+        self._known.update(zip(words, encodings, strict=True))
+        self._known.held += sum(map(len, words)) + ENTRY_BYTES * len(words)
+
+    def values(self, text: str, first_word: Callable[[str], object] | None = None) -> list | None:
+        """The encodings of the words of a text, in order; None where spaces adjoin other white
+        space, so that the text has to be encoded whole. ``first_word`` encodes the one without a lead, for
+        callers that hand the words of many texts to ``lacking`` and ``put`` before, where the limit then holds."""
+        if first_word is None and self._known.held > self._limit:
+            self._known = _Encodings(self._encode, self._lead, self._start)
         words = text.split(" ")
         try:
             if not self._lead:
@@ -70,7 +83,7 @@ class WordCache:
             first = words[0]
             if not first or first[-1].isspace():
                 return None
-            words[0] = self._encode(first)
+            words[0] = (first_word or self._encode)(first)
             words[1:] = map(self._known.__getitem__, words[1:])
             return words
         except _NotSeparate:
