@@ -160,6 +160,39 @@ def backfill_range(spark, sf_dir):
     return table.read(spark).drop("day")
 
 
+def _land_observed(spark: SparkSession, sf_dir: str, feed: Feed, root: str) -> tuple[date, date]:
+    """The same runs as ``_land_all``, every record landed once."""
+    first, last = _days(spark, sf_dir)
+    runs = first, last + timedelta(days=feed.lookback_days)
+    landing.land_observed(source.raw_feeds(spark, sf_dir)[feed.name], root, feed, *runs)
+    return runs
+
+
+@_register
+def backfill_observed(spark, sf_dir):
+    """A backfill landed without multiplied rows, then staged."""
+    root = new_table_path(spark, "landing")
+    _land_observed(spark, sf_dir, INTERCHANGE, root)
+    table = _empty_table(spark, INTERCHANGE)
+    staging.append_new(spark, landing.read_observed(spark, root, INTERCHANGE), table, INTERCHANGE)
+    return table.read(spark).drop("day")
+
+
+@_register
+def backfill_runs(spark, sf_dir):
+    """Rows every run of such a backfill covers, derived when read."""
+    root = new_table_path(spark, "landing")
+    runs = {name: _land_observed(spark, sf_dir, feed, root) for name, feed in FEEDS.items()}
+    return _stack(
+        [
+            landing.read_runs(spark, root, feed, *runs[name])
+            .groupBy(F.lit(name).alias("feed"), F.col("day").alias("run_day"))
+            .agg(F.count(F.lit(1)).alias("fetched_rows"))
+            for name, feed in FEEDS.items()
+        ]
+    )
+
+
 @_register
 def existing_ids(spark, sf_dir):
     table = _empty_table(spark, FUEL_TYPE)

@@ -53,13 +53,17 @@ def land(records: DataFrame, root: str, feed: Feed) -> None:
     Only days present are replaced: a repeated run overwrites its own day, and an empty
     batch changes nothing. AQE sizes the files, splitting a day that is too large.
     """
+    _write_days(records, f"{root}/{feed.route}", feed)
+
+
+def _write_days(records: DataFrame, folder: str, feed: Feed) -> None:
     (
         records.select(*feed.raw_columns, "day")
         .hint("rebalance", "day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
-        .parquet(f"{root}/{feed.route}")
+        .parquet(folder)
     )
 
 
@@ -67,6 +71,43 @@ def land_day(records: DataFrame, root: str, feed: Feed, run_day: date) -> None:
     land(records.withColumn("day", F.lit(run_day)), root, feed)
 
 
+def _observed_root(root: str, feed: Feed) -> str:
+    return f"{root}/observed/{feed.route}"
+
+
+def land_observed(records: DataFrame, root: str, feed: Feed, first: date, last: date) -> None:
+    """Write a backfill of the runs ``first..last`` by observation day, every record once.
+
+    Daily runs of a feed with a lookback land a record again and again; here it lies under
+    its own day, apart from what daily runs landed, and ``read_runs`` derives the runs from it. Records
+    without a readable day lie under ``first``. Days present are replaced whole, so that a
+    repeated backfill changes nothing.
+    """
+    day = _observation_day()
+    fetched = day.isNull() | day.between(first - timedelta(days=feed.lookback_days), last)
+    rows = records.filter(fetched).withColumn("day", F.coalesce(day, F.lit(first)))
+    _write_days(rows, _observed_root(root, feed), feed)
+
+
+def read_observed(
+    spark: SparkSession, root: str, feed: Feed, first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """A backfill's records, each once, with their observation day; what staging wants."""
+    return _read_days(spark, _observed_root(root, feed), feed, first, last)
+
+
+def read_runs(spark: SparkSession, root: str, feed: Feed, first: date, last: date) -> DataFrame:
+    """A backfill's records as the runs ``first..last`` fetched them, a row for every run, in ``day``.
+
+    Reads the days that these runs cover and no others; nothing is shuffled. Records without
+    a readable day belong to the first run of the backfill that landed them.
+    """
+    rows = read_observed(spark, root, feed, first - timedelta(days=feed.lookback_days), last)
+    ahead = F.when(_observation_day().isNull(), 0).otherwise(feed.lookback_days)
+    runs = F.sequence(F.col("day"), F.date_add("day", ahead))
+    return rows.withColumn("day", F.explode(runs)).filter(F.col("day").between(first, last))
+
+
 def landed_schema(feed: Feed) -> T.StructType:
     return T.StructType([*feed.raw_schema.fields, T.StructField("day", T.DateType())])
 
@@ -75,7 +116,13 @@ def read_landed(
     spark: SparkSession, root: str, feed: Feed, first: date | None = None, last: date | None = None
 ) -> DataFrame:
     """Landed rows with their run day; bounds prune the day folders."""
-    rows = spark.read.schema(landed_schema(feed)).parquet(f"{root}/{feed.route}")
+    return _read_days(spark, f"{root}/{feed.route}", feed, first, last)
+
+
+def _read_days(
+    spark: SparkSession, folder: str, feed: Feed, first: date | None, last: date | None
+) -> DataFrame:
+    rows = spark.read.schema(landed_schema(feed)).parquet(folder)
     if first is not None:
         rows = rows.filter(F.col("day") >= F.lit(first))
     if last is not None:

@@ -113,6 +113,31 @@ def test_backfill_gives_every_run_its_window(spark):
     assert runs.count() == 2 + 3 + 3 + 1
 
 
+def test_backfill_landed_once_gives_the_same_runs(spark, tmp_path):
+    days = (f"2024-01-0{d}T05" for d in range(1, 8))
+    records = interchange(spark, *((p, "A", "B", p[9]) for p in days), ("bad", "A", "B", "9"), (None, "A", "B", "8"))
+    first, last = date(2024, 1, 3), date(2024, 1, 5)
+    for _ in range(2):  # a repeated backfill changes nothing
+        landing.land_observed(records, str(tmp_path), INTERCHANGE, first, last)
+    once = landing.read_observed(spark, str(tmp_path), INTERCHANGE)
+    assert rows_of(once, "value") == [(v,) for v in "1234589"]  # every record of the windows, once
+
+    runs = landing.read_runs(spark, str(tmp_path), INTERCHANGE, first, last)
+    assert rows_of(runs, "day", "value") == rows_of(landing.by_run_day(records, INTERCHANGE, first, last), "day", "value")
+    assert "Exchange" not in runs._jdf.queryExecution().executedPlan().toString()
+
+    later = landing.read_runs(spark, str(tmp_path), INTERCHANGE, last, last)
+    assert rows_of(later, "value") == [("3",), ("4",), ("5",)]
+
+
+def test_backfill_of_nothing_lands_nothing(spark, tmp_path):
+    day = date(2024, 1, 3)
+    records = interchange(spark, ("2024-01-03T05", "A", "B", "1"))
+    landing.land_observed(records, str(tmp_path), INTERCHANGE, day, day)
+    landing.land_observed(records.limit(0), str(tmp_path), INTERCHANGE, day, day)
+    assert landing.read_runs(spark, str(tmp_path), INTERCHANGE, day, day).count() == 1
+
+
 def test_foreign_days_with_changing_types(spark, tmp_path):
     text = fuel(spark, ("2024-01-01T00", "A", "SUN", "5"), ("2024-01-01T01", "A", "SUN", None))
     for name, kind in (("a", "string"), ("b", "bigint"), ("c", "double")):
