@@ -34,7 +34,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmart.llm.common import map_batches, ship_package, stored, worker_state
@@ -152,9 +152,14 @@ def _sketch(described: DataFrame) -> np.ndarray:
 def _prefixes(
     batches: Iterator[pa.RecordBatch], words_each: int, percent: int, shared: Broadcast
 ) -> Iterator[pa.RecordBatch]:
-    """The index entries of every set: token, half its identity, size and position in the common order."""
+    """The index entries of every set: token, half its identity, size and position in the common order.
+
+    Copies of a set have the same entries: a task gives them once, so that a group of copies sends an entry
+    a task, however large it is.
+    """
     worker_state("jaccard", dict)
     counts = shared.value
+    given: set[tuple[int, int]] = set()  # an identity for each distinct set of the task's texts
     shift = np.uint64(64 - SKETCH_BITS)
     rows: list[tuple] = []
     held = 0
@@ -162,11 +167,13 @@ def _prefixes(
         for text in batch.column("text").to_pylist():
             tokens = shingle_set(text, words_each)
             n = len(tokens)
-            if n == 0:
+            identity = _identity(tokens)
+            if n == 0 or identity in given:
                 continue
+            given.add(identity)
             length = n - (percent * n + 99) // 100 + 1
             order = np.argsort(counts[(tokens >> shift).astype(np.int64)], kind="stable")[:length]
-            rows.append((_signed(tokens[order]), _identity(tokens)[0], n))
+            rows.append((_signed(tokens[order]), identity[0], n))
             held += length
             if held >= OUT_ROWS:
                 yield _entries(rows)
@@ -394,14 +401,16 @@ def _classes(
         texts.select("text"), partial(_prefixes, words_each=words_each, percent=percent, shared=shared),
         "token bigint, c1 bigint, n int, pos int",
     )
-    lists = prefixes.groupBy("token").agg(
-        F.min("c1").alias("a"), F.max("c1").alias("b"), F.count("*").alias("times"),
-        F.min("n").alias("least"), F.max("n").alias("most"),
+    # What a list holds is told by a window over it: its entries are shuffled once and every text is
+    # shingled once for them. Tasks write them as they come, without a table of all their tokens.
+    whole = Window.partitionBy("token")
+    entries = prefixes.select(
+        "*", F.min("c1").over(whole).alias("a"), F.max("c1").over(whole).alias("b"), F.count("*").over(whole).alias("times"),
+        F.min("n").over(whole).alias("least"), F.max("n").over(whole).alias("most"),
     )
     # Lists of one set go, and those of two whose sizes are too far apart.
-    lists = lists.filter("a < b").filter((F.col("times") > 2) | (F.col("least") * 100 >= F.col("most") * percent))
-    lists = lists.select("token")
-    entries = prefixes.join(lists, "token").groupBy("token", "c1").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
+    entries = entries.filter("a < b").filter((F.col("times") > 2) | (F.col("least") * 100 >= F.col("most") * percent))
+    entries = entries.groupBy("token", "c1").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
     entries = stored(_alive(stored(entries, "jaccard-entries"), percent), "jaccard-alive")
     # Where sets share the half, each gets the entries of all of them: more to compare, none lost.
     nodes = described.join(entries.select("c1").distinct(), "c1").select("c1", "c2", "n").distinct()
