@@ -5,8 +5,10 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.conftest import documents, edge_rows, sentence
 from pyspark.sql import functions as F
@@ -71,6 +73,16 @@ def test_groups_of_near_copies(spark, width, percent, changes):
     assert found(classes) == brute(rows, width, percent)
 
 
+def test_a_task_indexes_copies_of_a_set_once():
+    texts = ["a b c d e f"] * 40 + ["A  b c d e\tf", "q r s t u v", "", " "]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])] * 2
+    counts = SimpleNamespace(value=np.zeros(1 << jaccard.SKETCH_BITS, np.uint16))
+    rows = [r for b in jaccard._prefixes(iter(batches), 3, 50, counts) for r in b.to_pylist()]
+    # Two sets of four shingles, of which a similarity of half leaves three in front.
+    assert len(rows) == len({(r["token"], r["c1"]) for r in rows}) == 6
+    assert {(r["n"], r["pos"]) for r in rows} == {(4, 0), (4, 1), (4, 2)}
+
+
 def test_one_of_each_class_stays(edge):
     classes = brute(edge_rows(), 5, 80)
     kept = Counter((r["doc_id"], r["text"]) for r in jaccard.representatives(edge).collect())
