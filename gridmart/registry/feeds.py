@@ -248,14 +248,14 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def _pages(records: DataFrame, feed: Feed, page_key: list[str]) -> DataFrame:
-    """Pages of at most PAGE_ROWS records: ``page_key`` holds a block of unique row keys."""
+    """Pages of at most PAGE_ROWS records: ``page_key`` holds a block of unique row keys, and is their request."""
     records = records.withColumn("day", F.substring("period", 1, 10).cast("date"))
     totals = records.groupBy("day").agg(F.count(F.lit(1)).cast("string").alias("total"))
     data = records.groupBy("day", *page_key).agg(
         F.collect_list(F.struct(*feed.raw_columns)).alias("data")
     )
     return data.join(totals, "day").select(
-        *page_key, "day", F.struct("total", "data").alias("response")
+        *page_key, "day", F.to_json(F.struct(*page_key)).alias("request"), F.struct("total", "data").alias("response")
     )
 
 
@@ -275,6 +275,6 @@ def fuel_type_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_pages(pages: DataFrame, root: str, feed: Feed) -> None:
-    pages.select("day", "response").write.mode("overwrite").partitionBy("day").json(
+    pages.select("day", "request", "response").write.mode("overwrite").partitionBy("day").json(
         f"{root}/{feed.route}"
     )

@@ -24,10 +24,12 @@ def page_schema(feed: Feed) -> T.StructType:
 def read_pages(spark: SparkSession, root: str, feed: Feed, multi_line: bool = False) -> DataFrame:
     """Pages under ``root/<route>/day=<run day>/``, one JSON document per line.
 
-    Files holding one pretty-printed page each need ``multi_line``.
+    Files holding one pretty-printed page each need ``multi_line``. ``request`` is what the page says it was asked
+    for by, an object as its JSON text; null where it says nothing.
     """
+    response, day = page_schema(feed)
     return (
-        spark.read.schema(page_schema(feed))
+        spark.read.schema(T.StructType([T.StructField("request", T.StringType()), response, day]))
         .option("multiLine", multi_line)
         .json(f"{root}/{feed.route}")
     )
@@ -44,10 +46,13 @@ def page_completeness(
     """Records collected against records announced, per run day.
 
     A request that fails midway leaves fewer rows than announced and no other trace. A page
-    that was landed twice counts once. Days of the ``expected`` range (first, last) without a
-    single page have a row too: nothing collected, nothing announced.
+    that was landed twice counts once: of pages that name their ``request`` those of the same one, in whatever
+    order their records came, of others those with the same content. Days of the ``expected`` range (first, last)
+    without a single page have a row too: nothing collected, nothing announced.
     """
-    one_each = pages.groupBy("day", F.xxhash64(F.to_json("response")).alias("_page")).agg(
+    request = F.col("request") if "request" in pages.columns else F.lit(None).cast("string")
+    content = F.when(request.isNull(), F.xxhash64(F.to_json("response")))
+    one_each = pages.groupBy("day", request.alias("_request"), content.alias("_page")).agg(
         F.max(F.coalesce(F.array_size("response.data"), F.lit(0))).alias("_rows"),
         F.max(F.col("response.total").try_cast("bigint")).alias("_total"),
     )

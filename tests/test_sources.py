@@ -214,3 +214,15 @@ def test_a_page_landed_twice_hides_no_lost_one(spark):
     assert rows_of(checked, "day", "collected", "is_incomplete") == [
         (day, 2, True), (date(2024, 1, 2), 0, True), (date(2024, 1, 3), 4, False)
     ]
+
+
+def test_pages_of_different_requests_are_not_one_page(spark, tmp_path):
+    asked = lambda offset, *values: {"request": {"params": {"offset": offset}}, **_page("4", *values)}
+    # Equal records under two offsets; one offset landed twice, its records in another order.
+    _page_file(tmp_path, "2024-01-01", "p0.json", asked(0, "1", "2"), asked(2, "1", "2"))
+    _page_file(tmp_path, "2024-01-02", "p0.json", asked(0, "1", "2"), asked(0, "2", "1"))
+    report = pages.page_completeness(pages.read_pages(spark, str(tmp_path), REGION), REGION)
+    assert rows_of(report, "day", "collected", "announced", "is_incomplete") == [
+        (date(2024, 1, 1), 4, 4, False),
+        (date(2024, 1, 2), 2, 4, True),
+    ]
