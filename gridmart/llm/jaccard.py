@@ -197,14 +197,21 @@ def _entries(rows: list[tuple]) -> pa.RecordBatch:
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compressed texts: they take less than half of their sets' room, and give the sets again."""
+    import zstandard
+
     worker_state("jaccard", dict)
+    packer = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        packed = [zlib.compress(text.encode("utf-8"), 1) for text in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(packed, pa.binary())], ["node", "packed"])
+        packed = [packer.compress(text.encode("utf-8")) for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(packed, pa.binary())], ["doc_id", "text_hash", "packed"]
+        )
 
 
 def _unpacked(packed: bytes, words_each: int) -> np.ndarray:
-    return shingle_set(zlib.decompress(packed).decode("utf-8"), words_each)
+    import zstandard
+
+    return shingle_set(zstandard.decompress(packed).decode("utf-8"), words_each)
 
 
 def _compare(batches: Iterator[pa.RecordBatch], words_each: int, percent: int, near: int) -> Iterator[pa.RecordBatch]:
@@ -316,11 +323,14 @@ def _derived(around: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) of the sets around common roots, from their differences alone."""
     limit = (100 - percent) * F.col("root_size")
     direct = around.filter(F.col("cost") <= limit).select(F.col("node").alias("a"), F.col("root").alias("b"))
-    tokens = around.select("root", F.explode("differs").alias("token"))
-    counts = tokens.groupBy("root", "token").agg(F.count("*").alias("times")).filter("times > 1").select("root", "token")
-    # Tokens that no other set differs in cannot be shared.
-    outliers = around.withColumn("least", F.ceil((F.col("cost") - limit) / 100).cast("int")).filter("least > 0")
-    listed = outliers.select("root", "node", "cost", "least", F.explode("differs").alias("token")).join(counts, ["root", "token"])
+    least = F.ceil((F.col("cost") - limit) / 100).cast("int")
+    asked = lambda name: F.when(least > 0, F.col(name)).alias(name)
+    tokens = around.select(
+        "root", asked("node"), asked("cost"), F.when(least > 0, least).alias("least"), F.explode("differs").alias("token")
+    )
+    # Tokens that no other set differs in cannot be shared. A window tells, each difference is shuffled once for it.
+    times = F.count("*").over(Window.partitionBy("root", "token"))
+    listed = tokens.withColumn("times", times).filter((F.col("times") > 1) & F.col("node").isNotNull())
     listed = listed.groupBy("root", "node", "cost", "least").agg(F.collect_list("token").alias("differs"))
     listed = stored(listed.filter(F.size("differs") >= F.col("least")), "jaccard-outliers")
     # Blocks of outliers meet blocks of sets of the same root.
@@ -422,9 +432,10 @@ def _classes(
     source = source.select("node", F.col("of.doc_id").alias("of_id"), F.col("of.text_hash").alias("text_hash"))
     # Of a side that grows with the input no size is known: merged alike at every size.
     source = source.hint("merge")
-    source = keyed.join(source, (keyed["text_hash"] == source["text_hash"]) & keyed["doc_id"].eqNullSafe(source["of_id"]))
-    sets = map_batches(source.select("node", "text"), _packed, "node bigint, packed binary")
-    sets = stored(sets.dropDuplicates(["node"]), "jaccard-sets")
+    # Texts are compressed before this shuffle, which is the largest of all.
+    packed = map_batches(keyed, _packed, f"doc_id {id_type}, text_hash bigint, packed binary")
+    sets = packed.join(source, (packed["text_hash"] == source["text_hash"]) & packed["doc_id"].eqNullSafe(source["of_id"]))
+    sets = stored(sets.select("node", "packed").dropDuplicates(["node"]), "jaccard-sets")
 
     roots = _roots(entries)
     pairs = _sized(roots.filter("node != root"), nodes, NEAR_PERCENT)

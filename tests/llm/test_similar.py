@@ -214,3 +214,19 @@ def test_probing_order_starts_at_home_and_never_uses_both_walls():
     assert order[:3] == [(), (0,), (1,)]
     assert len(set(order)) == 60
     assert all(len({min(r, 7 - r) for r in ranks}) == len(ranks) for ranks in order)
+
+
+def test_texts_are_compressed_before_they_are_shuffled_and_shared_tokens_need_no_join(spark, monkeypatch):
+    plans = {}
+    kept = jaccard.stored
+
+    def keep(frame, name):
+        plans[name] = frame._jdf.queryExecution().optimizedPlan().toString()
+        return kept(frame, name)
+
+    monkeypatch.setattr(jaccard, "stored", keep)
+    rows = [(i, t, "en", "a") for i, t in enumerate(variants(3, 80, 40, 14))]
+    classes = jaccard.similarity_classes(documents(spark, rows), words_each=3, percent=90)
+    assert found(classes) == brute(rows, 3, 90)
+    assert "Join" not in plans["jaccard-outliers"]
+    assert 0 <= plans["jaccard-sets"].find("Join") < plans["jaccard-sets"].find("MapInArrow")
