@@ -43,6 +43,7 @@ EVENT_SERIES = {"view": "D", "error": "D", "click": "DF", "signup": "NG", "purch
 UNITS = "megawatthours"
 FIRST_DAY = "2024-01-01"
 TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")
+FILE_ROWS = 1_000_000  # of the raw feeds, so that a task reads few
 HOURS = 720  # both order keys are spread over 30 days
 
 
@@ -201,7 +202,7 @@ def _state(sf_dir: str, spark: SparkSession) -> tuple:
 def _raw_root(spark: SparkSession, application: str, sf_dir: str, state: tuple) -> str:
     root = new_table_path(spark, "raw")
     for name, derive in _DERIVED.items():
-        derive(spark, sf_dir).write.parquet(f"{root}/{name}")
+        derive(spark, sf_dir).write.option("maxRecordsPerFile", FILE_ROWS).parquet(f"{root}/{name}")
     return root
 
 
