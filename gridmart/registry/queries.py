@@ -108,7 +108,7 @@ def _land_all(spark: SparkSession, sf_dir: str, feed: Feed, root: str) -> None:
     raw = source.raw_feeds(spark, sf_dir)[feed.name]
     first, last = _days(spark, sf_dir)
     last_run = last + timedelta(days=feed.lookback_days)
-    landing.land(landing.by_run_day(raw, feed, first, last_run), root, feed)
+    landing.land_runs(raw, root, feed, first, last_run)
 
 
 @_register

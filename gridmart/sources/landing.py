@@ -56,10 +56,22 @@ def land(records: DataFrame, root: str, feed: Feed) -> None:
     _write_days(records, f"{root}/{feed.route}", feed)
 
 
+def land_runs(records: DataFrame, root: str, feed: Feed, first: date, last: date) -> None:
+    """Write records for every run in ``first..last`` whose window covers them, as ``land`` writes ``by_run_day``.
+
+    Each record is shuffled once, by its observation day, and multiplied by the task that writes it.
+    """
+    near = records.withColumn("_observed", _observation_day()).hint("rebalance", "_observed")
+    _save_days(by_run_day(near, feed, first, last), f"{root}/{feed.route}", feed)
+
+
 def _write_days(records: DataFrame, folder: str, feed: Feed) -> None:
+    _save_days(records.select(*feed.raw_columns, "day").hint("rebalance", "day"), folder, feed)
+
+
+def _save_days(records: DataFrame, folder: str, feed: Feed) -> None:
     (
         records.select(*feed.raw_columns, "day")
-        .hint("rebalance", "day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gridmart.operators.joins import keep_all_small
 from gridmart.plans import dashboard, grid_map, quality
 from gridmart.registry import feeds
-from gridmart.schemas import REGION
+from gridmart.schemas import INTERCHANGE, REGION
 from gridmart.session import new_table_path, shared_folder
 from gridmart.sources import landing, staging
 
@@ -161,3 +161,34 @@ def test_no_local_folder_on_a_cluster():
     assert shared_folder(named) == "hdfs:///shared"
 
 
+
+
+def test_a_split_of_packed_files_is_small_whatever_the_session_says(spark):
+    from gridmart.session import apply_settings
+
+    with settings(spark, spark_sql_files_maxPartitionBytes="128m"):
+        apply_settings(spark)
+        assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) == 16 << 20
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+        apply_settings(spark)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "1m"
+
+
+def test_no_file_of_a_raw_feed_has_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(feeds, "FILE_ROWS", 100)
+    root = feeds._raw_root.__wrapped__(spark, "once", SMALLEST, ())
+    rows = spark.read.parquet(f"{root}/fuel_type").groupBy(F.input_file_name()).count()
+    assert rows.agg(F.max("count")).first()[0] <= 100 < rows.agg(F.sum("count")).first()[0]
+
+
+def test_runs_are_landed_with_one_shuffle_of_each_record(spark, monkeypatch):
+    raw = hourly_rows(spark, 300, 200).unionByName(hourly_rows(spark, 3, 0).withColumn("period", F.lit("no day")))
+    raw = raw.toDF(*INTERCHANGE.raw_columns)
+    kept, root = [], new_table_path(spark, "landing")
+    save = landing._save_days
+    monkeypatch.setattr(landing, "_save_days", lambda rows, *rest: (kept.append(rows), save(rows, *rest)))
+    landing.land_runs(raw, root, INTERCHANGE, *DAYS)
+    key = lambda frame: sorted(map(str, frame.select(*INTERCHANGE.raw_columns, "day").collect()))
+    assert key(landing.read_landed(spark, root, INTERCHANGE)) == key(landing.by_run_day(raw, INTERCHANGE, *DAYS))
+    plan = kept[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.find("Generate") < plan.find("RebalancePartitions")
