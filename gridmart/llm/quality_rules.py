@@ -195,11 +195,9 @@ def kept_documents(
 ) -> DataFrame:
     """The documents that ``apply_rules`` keeps, with all their columns."""
     names = {f"__kept_{i}": column for i, column in enumerate(documents.columns)}
-    labelled = documents.join(labels.select(F.col("doc_id").alias("__label")).distinct(), F.col(id_column) == F.col("__label"), "left_semi")
-    held_out = stored(measure(labelled, id_column, text_column, {"stratum": stratum_column}), "quality-holdout")
-    table = _cutoff_table(held_out, labels, risk, error)
-    measured = measure(documents, id_column, text_column, {"stratum": stratum_column, **names})
-    kept = _ruled(measured, table).filter("kept")
+    # Stored with their counts, documents are measured once and never shuffled; the cutoffs read the counts alone.
+    measured = stored(measure(documents, id_column, text_column, {"stratum": stratum_column, **names}), "quality-counts")
+    kept = _ruled(measured, _cutoff_table(measured, labels, risk, error)).filter("kept")
     return kept.select(*[F.col(name).alias(column) for name, column in names.items()])
 
 
@@ -226,7 +224,8 @@ def _cutoff_table(measured: DataFrame, labels: DataFrame, risk: float, error: fl
 
 
 def _ruled(measured: DataFrame, table: DataFrame) -> DataFrame:
-    ruled = measured.join(table, F.col("stratum").eqNullSafe(F.col("known")), "left")
+    # A stratum has a rule only by several hundred labels: the table fits a broadcast, and the rows stay where they are.
+    ruled = measured.join(F.broadcast(table), F.col("stratum").eqNullSafe(F.col("known")), "left")
     over = [F.when(ratio > F.col(f"cut_{rule}"), F.lit(rule)) for rule, ratio in ratios().items()]
     ruled = ruled.withColumn("base_failed", base_failed()).withColumn("rejected_by", F.array_compact(F.array(*over)))
     ruled = ruled.withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))

@@ -119,6 +119,28 @@ def test_rules_reject_what_labels_call_bad(spark):
     assert kept.columns == frame.columns
 
 
+def test_texts_are_measured_once_and_never_shuffled(spark, edge, monkeypatch):
+    written = []
+    store = quality_rules.stored
+    monkeypatch.setattr(quality_rules, "stored", lambda frame, name: (written.append(frame), store(frame, name))[1])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id bigint, quality int")
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(name, None) for name in names]
+    try:
+        for name in names:
+            spark.conf.set(name, "-1")
+        kept = quality_rules.kept_documents(edge, labels)
+        assert len(written) == 1
+        for frame in (*written, kept):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning" not in re.sub(r"(?s)InMemoryRelation.*", "", plan)
+        rows = Counter(r["doc_id"] for r in kept.collect())
+    finally:
+        for name, value in zip(names, before, strict=True):
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert rows == Counter(r["doc_id"] for r in quality_rules.apply_rules(edge, labels).collect() if r["kept"])
+
+
 def test_binomial_tail_is_exact():
     for k, n, p in [(0, 10, 0.1), (3, 20, 0.2), (20, 20, 0.5), (7, 50, 0.05)]:
         plain = sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
