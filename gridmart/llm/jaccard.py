@@ -284,13 +284,15 @@ def _sized(pairs: DataFrame, nodes: DataFrame, near: int) -> DataFrame:
 
 
 def _roots(entries: DataFrame) -> DataFrame:
-    """(node, root): from each set to the one in most lists that it meets most often, and on from there.
+    """(node, root): from each set to the leader that it meets most often, and on from there.
 
-    The leader of a list has the most lists of all in it, so that no chain comes back.
+    The leader of a list is the one whose own lists hold most sets together, so that no chain comes back: in a group of
+    near copies, where all have equally many lists, that is a copy without rare changes.
     """
-    lists = entries.groupBy("node").agg(F.count("*").alias("lists"))
-    ranked = entries.join(lists, "node")
-    leaders = ranked.groupBy("token").agg(F.max(F.struct("lists", (-F.col("node")).alias("minus"))).alias("leader"))
+    sizes = entries.groupBy("token").agg(F.count("*").alias("held"))
+    weights = entries.join(sizes, "token").groupBy("node").agg(F.sum("held").alias("weight"))
+    ranked = entries.join(weights, "node")
+    leaders = ranked.groupBy("token").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("leader"))
     met = entries.select("token", "node").join(leaders, "token").groupBy("node", "leader").agg(F.count("*").alias("times"))
     best = met.groupBy("node").agg(F.max(F.struct("times", "leader")).alias("best"))
     roots = stored(best.select("node", (-F.col("best.leader.minus")).alias("root")), "jaccard-roots")
@@ -303,16 +305,48 @@ def _roots(entries: DataFrame) -> DataFrame:
             return roots
 
 
+def _held(roots: DataFrame) -> DataFrame:
+    """Roots with their label, and how many sets each has."""
+    return roots.join(roots.groupBy("root").agg(F.count("*").alias("held")), "root")
+
+
+def _larger(entries: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, root): two other groups at most that a set could belong to as well. Of the largest groups in its lists
+    these are the one met most often and the largest one."""
+    rooted = entries.select("token", "node").join(_held(roots), "node")
+    largest = rooted.groupBy("token").agg(F.max(F.struct("held", (-F.col("root")).alias("minus"))).alias("largest"))
+    met = rooted.join(largest, "token").groupBy("node", "root", "largest").agg(F.count("*").alias("times"))
+    met = met.groupBy("node", "root").agg(F.max(F.struct("times", "largest")).alias("often"), F.max("largest").alias("largest"))
+    groups = F.explode(F.array_distinct(F.array(-F.col("often.largest.minus"), -F.col("largest.minus"))))
+    return met.select("node", F.col("root").alias("own"), groups.alias("root")).filter("root != own").select("node", "root")
+
+
+def _gathered(own: DataFrame, roots: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``own`` and ``roots`` after each set has moved to the largest group among those whose root is near it."""
+    sizes = roots.groupBy("root").agg(F.count("*").alias("held"))
+    row = F.struct(*own.columns)
+    moved = others.join(sizes, "root").groupBy("node").agg(F.max_by(row, F.struct("held", -F.col("root"))).alias("row"))
+    moved = stored(moved.select("row.*"), "jaccard-moved")
+    own = own.join(moved.select("node"), "node", "left_anti").select(*moved.columns).unionByName(moved)
+    onward = moved.select("node", F.col("root").alias("next"))
+    roots = roots.join(onward, "node", "left").select("node", F.coalesce("next", "root").alias("root"))
+    return stored(own, "jaccard-own"), stored(roots, "jaccard-roots")
+
+
 def _guests(entries: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """(node, root) of the sets that may link to a set around another root of smaller number."""
-    rooted = entries.join(roots, "node")
+    """(node, root) of the sets that may link to a set around another root, one of more sets.
+
+    Sets of the smaller group visit the larger one, ties by number: a large group whose rare variants lead groups
+    of their own then sends nobody to these.
+    """
+    rooted = entries.join(_held(roots), "node")
     rest = F.col("n") - F.col("pos")
-    blocks = rooted.groupBy("token", F.col("root").alias("block")).agg(
+    blocks = rooted.groupBy("token", F.col("root").alias("block"), F.col("held").alias("block_held")).agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.max(rest).alias("most_rest")
     )
     return (
         rooted.join(blocks, "token")
-        .filter(F.col("block") < F.col("root"))
+        .filter(F.struct("block_held", -F.col("block")) > F.struct("held", -F.col("root")))
         .filter(_could_link("n", rest, "least", "most", "most_rest", percent))
         .select("node", F.col("block").alias("root"))
         .distinct()
@@ -444,6 +478,10 @@ def _classes(
     near = own.select("node", F.lit(True).alias("near"))
     roots = roots.join(near, "node", "left").select("node", F.when(F.col("near"), F.col("root")).otherwise(F.col("node")).alias("root"))
     roots = stored(roots, "jaccard-roots")
+    # Variants that led groups of their own gather around one root, else every set would visit every such group.
+    pairs = _sized(_larger(entries, roots), nodes, NEAR_PERCENT)
+    others = _compared(pairs, sets, words_each, percent, NEAR_PERCENT).filter(F.col("differs").isNotNull())
+    own, roots = _gathered(own, roots, others)
     near_guests = NEAR_PERCENT - (100 - percent)
     pairs = _sized(_guests(entries, roots, percent), nodes, near_guests)
     guests = _compared(pairs, sets, words_each, percent, near_guests)

@@ -83,6 +83,24 @@ def test_a_task_indexes_copies_of_a_set_once():
     assert {(r["n"], r["pos"]) for r in rows} == {(4, 0), (4, 1), (4, 2)}
 
 
+def test_differences_of_a_group_grow_as_its_sets(spark, monkeypatch):
+    """Copies with a few changes out of many that others have too: each is compared with a root or two."""
+    dice = random.Random(5)
+    rows = []
+    for i in range(300):
+        words = [f"w{k}" for k in range(150)]
+        for _ in range(dice.randint(0, 6)):
+            words[dice.randrange(150)] = f"x{dice.randrange(6)}"
+        rows.append((i, " ".join(words), "en", "a"))
+    kept = []
+    derived = jaccard._derived
+    monkeypatch.setattr(jaccard, "_derived", lambda around, percent: (kept.append(around), derived(around, percent))[1])
+    assert found(jaccard.similarity_classes(documents(spark, rows), words_each=5, percent=80)) == brute(rows, 5, 80)
+    counts = kept[0].agg(F.count("*").alias("rows"), F.countDistinct("node").alias("sets")).first()
+    assert counts["sets"] > 200
+    assert counts["rows"] < 2 * counts["sets"]
+
+
 def test_one_of_each_class_stays(edge):
     classes = brute(edge_rows(), 5, 80)
     kept = Counter((r["doc_id"], r["text"]) for r in jaccard.representatives(edge).collect())
