@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gridmart.functions.parsing import hour_period
 from gridmart.operators.cleaning import readable
 from gridmart.schemas import Feed
-from gridmart.sources.landing import landed_schema
+from gridmart.sources.landing import landed_schema, read_landed
 from gridmart.sources.staging import append_new
 from gridmart.sources.tables import Table
 
@@ -97,6 +99,14 @@ def older_rows(raw: DataFrame, feed: Feed, table: Table, within: str = REPEATS_W
     return rows.filter(F.col("_hour") < F.lit(last) - F.expr(f"INTERVAL {within}")).drop("_hour")
 
 
+def _backlog_start(spark: SparkSession, root: str, feed: Feed, table: Table) -> datetime | None:
+    """Where nothing is stored yet, the last landed observation: a backlog has no watermark in its first micro-batch, and
+    would go through the state as a whole."""
+    if table.read_if_any(spark) is not None:
+        return None
+    return readable(read_landed(spark, root, feed), feed).agg(F.max("_hour")).first()[0]
+
+
 def start_deduplicated(raw: DataFrame, table: Table, feed: Feed, checkpoint: str) -> StreamingQuery:
     """As ``start_append``, with repeats inside the watermark dropped before the append sees them."""
     with _state_on_disk(raw.sparkSession):
@@ -116,9 +126,13 @@ def append_deduplicated(
 
     Each pass has its own progress under ``checkpoint``. Both append by comparing with what is stored, so that no
     row is lost or stored twice, however late it comes and wherever a pass was cut off. Returns the
-    first pass, finished.
+    first pass, finished. Of a backlog, the first pass takes the rows near its last observation; no second pass
+    has been over its files, so that the one to come finds all others among its own.
     """
     landed = landed_stream(spark, root, feed, max_files_per_trigger, newest_first)
+    last = _backlog_start(spark, root, feed, table)
+    if last is not None:
+        landed = landed.filter(hour_period(F.col("period")) >= F.lit(last) - F.expr(f"INTERVAL {REPEATS_WITHIN}"))
     first = start_deduplicated(landed, table, feed, f"{checkpoint}/recent")
     first.awaitTermination()
     if table.read_if_any(spark) is not None:

@@ -60,3 +60,19 @@ def test_late_rows_are_kept_and_repeats_are_not(spark):
     arrive(1, 22)
     stored = rows_of(staged.read(spark).selectExpr("day(period) AS day"))
     assert stored == [(1,), (21,), (22,)]
+
+
+def test_a_backlog_goes_through_the_state_near_its_end_only(spark):
+    root, checkpoint = new_table_path(spark, "landing"), new_table_path(spark, "progress")
+    staged = staging.staged_table(new_table_path(spark, "staged"), FUEL_TYPE)
+
+    def arrive(*days):
+        rows = fuel(spark, *[(f"2024-01-{d:02d}T05", "A", "SUN", str(d)) for d in days], ("bad", "A", "SUN", "1"))
+        landing.land(landing.by_run_day(rows, FUEL_TYPE, date(2024, 1, days[0]), date(2024, 1, days[-1] + 1)), root, FUEL_TYPE)
+        run = ingest.append_deduplicated(spark, root, staged, FUEL_TYPE, checkpoint, max_files_per_trigger=64, newest_first=True)
+        states = [s.numRowsUpdated for p in run.recentProgress for s in p.stateOperators]
+        return sum(states), [r[0] for r in rows_of(staged.read(spark).selectExpr("day(period) AS day"))]
+
+    # The days 17 to 20 lie within three days of the last one; each run lands its day and the one before.
+    assert arrive(*range(1, 21)) == (4, list(range(1, 21)))
+    assert arrive(22, 23)[1] == [*range(1, 21), 22, 23]
