@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import io
 import random
+import sys
 import zlib
 from array import array
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from llm.conftest import edge_rows
 
@@ -135,6 +137,30 @@ def test_ids_of_words_and_marks_are_those_of_whole_texts(tokenizer):
         assert list(array("H", encoder.encode(text))) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_a_batch_are_those_of_its_texts(tokenizer):
+    encoder = records.IdEncoder(None)
+    texts = ["", " ", "naïve co-op, Straße's don't. İx ªb ×y word<|endoftext|>, end", "a" * 300, "x\t y", "the  the", *odd_texts(500, 6)]
+    expected = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [list(array("H", ids)) for ids in encoder.encode_all(pa.array(["cut off", *texts]).slice(1))] == expected
+    assert encoder.encode_all([]) == []
+
+
+def test_no_python_step_for_each_word_of_a_batch():
+    encoder = records.IdEncoder(None)
+    encoder.encode("the first, of marks")
+    steps = []
+    for n in (100, 5_000):
+        text = " ".join("".join(chr(97 + int(d)) for d in str(i)) + "," * (i % 2) for i in range(n))
+        calls = []
+        sys.setprofile(lambda frame, event, arg, calls=calls: calls.append(event))
+        try:
+            encoder.encode_all([text] * 3)
+        finally:
+            sys.setprofile(None)
+        steps.append(len(calls))
+    assert steps[1] < steps[0] + 100
+
+
 @pytest.mark.parametrize("at", [0, 9, 14, 30, -1])
 def test_damage_is_noticed(at):
     data = bytearray(records.frame(7, array("H", range(20)).tobytes(), 2))
