@@ -36,6 +36,14 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def settled(frame: DataFrame, name: str) -> DataFrame:
+    """``stored``, for queries of many such steps: Spark drops the broadcasts, plans and shuffle files of a step that is
+    over when the driver collects its garbage. The hint makes that happen after each step, not once its heap is full."""
+    frame = stored(frame, name)
+    frame.sparkSession.sparkContext._jvm.System.gc()
+    return frame
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package, whatever folder the driver was started in."""
     application = spark.sparkContext.applicationId

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import stored
+from gridmart.llm.common import settled
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -16,7 +16,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     of the longest path. Each round is written to the shared folder, so that a lost executor
     costs one round at most.
     """
-    edges = stored(_oriented(edges), "links")
+    edges = settled(_oriented(edges), "links")
     state = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -26,7 +26,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         least = larger.groupBy("a").agg(F.min("b").alias("m"))
         smaller = larger.join(least, "a")
         smaller = smaller.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.withColumnRenamed("m", "b"))
-        edges = stored(_oriented(smaller), "links")
+        edges = settled(_oriented(smaller), "links")
         before, state = state, _state(edges)
         if state == before:
             break

@@ -37,7 +37,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import map_batches, ship_package, stored, worker_state
+from gridmart.llm.common import map_batches, settled, ship_package, worker_state
 from gridmart.llm.components import connected_components
 
 SKETCH_BITS = 23
@@ -128,25 +128,27 @@ DESCRIBED = ["doc_id", "text_hash", "n", "c1", "c2", "part", "counts"]
 
 
 def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Logarithms of the summed counts of each part, in two bytes: they only order tokens."""
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for part, packed in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
             counts = np.frombuffer(zlib.decompress(packed), np.uint32).astype(np.int64)
             sums[part] = sums[part] + counts if part in sums else counts
-    packed = [zlib.compress(counts.tobytes(), 1) for counts in sums.values()]
-    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(packed, pa.binary())], ["part", "counts"])
+    logs = [np.minimum(np.log1p(counts) * LOG_STEPS, np.iinfo(np.uint16).max).astype(np.uint16) for counts in sums.values()]
+    packed = [zlib.compress(part.tobytes(), 1) for part in logs]
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(packed, pa.binary())], ["part", "logs"])
 
 
 def _sketch(described: DataFrame) -> np.ndarray:
     """Logarithms of the counts of all tokens of the corpus, by the first bits of their hashes.
 
-    They only order tokens: two bytes each are fine enough for that.
+    Each part is summed by one task, so that the driver holds two bytes a count and never the counts.
     """
     parts = described.filter(F.col("part").isNotNull()).select("part", "counts").repartition("part")
-    counts = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.int64)
-    for row in map_batches(parts, _add_counts, "part int, counts binary").collect():  # 8 bytes << SKETCH_BITS
-        counts[row["part"]] += np.frombuffer(zlib.decompress(row["counts"]), np.int64)
-    return np.minimum(np.log1p(counts.ravel()) * LOG_STEPS, np.iinfo(np.uint16).max).astype(np.uint16)
+    logs = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.uint16)
+    for row in map_batches(parts, _add_counts, "part int, logs binary").collect():  # 2 bytes << SKETCH_BITS
+        logs[row["part"]] = np.frombuffer(zlib.decompress(row["logs"]), np.uint16)
+    return logs.ravel()
 
 
 def _prefixes(
@@ -295,11 +297,11 @@ def _roots(entries: DataFrame) -> DataFrame:
     leaders = ranked.groupBy("token").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("leader"))
     met = entries.select("token", "node").join(leaders, "token").groupBy("node", "leader").agg(F.count("*").alias("times"))
     best = met.groupBy("node").agg(F.max(F.struct("times", "leader")).alias("best"))
-    roots = stored(best.select("node", (-F.col("best.leader.minus")).alias("root")), "jaccard-roots")
+    roots = settled(best.select("node", (-F.col("best.leader.minus")).alias("root")), "jaccard-roots")
     while True:
         onward = roots.select(F.col("node").alias("root"), F.col("root").alias("next"))
         moved = roots.join(onward, "root").select("node", F.col("next").alias("root"), (F.col("next") != F.col("root")).alias("moved"))
-        moved = stored(moved, "jaccard-roots")
+        moved = settled(moved, "jaccard-roots")
         roots = moved.select("node", "root")
         if moved.filter("moved").isEmpty():
             return roots
@@ -326,11 +328,11 @@ def _gathered(own: DataFrame, roots: DataFrame, others: DataFrame) -> tuple[Data
     sizes = roots.groupBy("root").agg(F.count("*").alias("held"))
     row = F.struct(*own.columns)
     moved = others.join(sizes, "root").groupBy("node").agg(F.max_by(row, F.struct("held", -F.col("root"))).alias("row"))
-    moved = stored(moved.select("row.*"), "jaccard-moved")
+    moved = settled(moved.select("row.*"), "jaccard-moved")
     own = own.join(moved.select("node"), "node", "left_anti").select(*moved.columns).unionByName(moved)
     onward = moved.select("node", F.col("root").alias("next"))
     roots = roots.join(onward, "node", "left").select("node", F.coalesce("next", "root").alias("root"))
-    return stored(own, "jaccard-own"), stored(roots, "jaccard-roots")
+    return settled(own, "jaccard-own"), settled(roots, "jaccard-roots")
 
 
 def _guests(entries: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
@@ -366,7 +368,7 @@ def _derived(around: DataFrame, percent: int) -> DataFrame:
     times = F.count("*").over(Window.partitionBy("root", "token"))
     listed = tokens.withColumn("times", times).filter((F.col("times") > 1) & F.col("node").isNotNull())
     listed = listed.groupBy("root", "node", "cost", "least").agg(F.collect_list("token").alias("differs"))
-    listed = stored(listed.filter(F.size("differs") >= F.col("least")), "jaccard-outliers")
+    listed = settled(listed.filter(F.size("differs") >= F.col("least")), "jaccard-outliers")
     # Blocks of outliers meet blocks of sets of the same root.
     asking = listed.groupBy("root").agg(F.ceil(F.count("*") / OUTLIER_BLOCK).cast("int").alias("cuts"))
     held = around.groupBy("root").agg(F.ceil(F.count("*") / SET_BLOCK).cast("int").alias("set_cuts"))
@@ -437,7 +439,7 @@ def _classes(
         keyed, partial(_describe, words_each=words_each),
         f"doc_id {id_type}, text_hash bigint, n int, c1 bigint, c2 bigint, part int, counts binary",
     )
-    described = stored(described, "jaccard-documents")
+    described = settled(described, "jaccard-documents")
     shared = spark.sparkContext.broadcast(_sketch(described))  # 2 bytes << SKETCH_BITS
     described = described.filter(F.col("part").isNull()).select("doc_id", "text_hash", "n", "c1", "c2")
 
@@ -455,12 +457,14 @@ def _classes(
     # Lists of one set go, and those of two whose sizes are too far apart.
     entries = entries.filter("a < b").filter((F.col("times") > 2) | (F.col("least") * 100 >= F.col("most") * percent))
     entries = entries.groupBy("token", "c1").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
-    entries = stored(_alive(stored(entries, "jaccard-entries"), percent), "jaccard-alive")
+    entries = settled(entries, "jaccard-entries")
+    shared.destroy()
+    entries = settled(_alive(entries, percent), "jaccard-alive")
     # Where sets share the half, each gets the entries of all of them: more to compare, none lost.
     nodes = described.join(entries.select("c1").distinct(), "c1").select("c1", "c2", "n").distinct()
-    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
+    nodes = settled(nodes.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
     entries = entries.drop("n").join(nodes, "c1").select("token", "node", "n", "pos")
-    entries = stored(entries, "jaccard-index")
+    entries = settled(entries, "jaccard-index")
 
     source = described.join(nodes, ["c1", "c2"]).groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("of"))
     source = source.select("node", F.col("of.doc_id").alias("of_id"), F.col("of.text_hash").alias("text_hash"))
@@ -469,15 +473,15 @@ def _classes(
     # Texts are compressed before this shuffle, which is the largest of all.
     packed = map_batches(keyed, _packed, f"doc_id {id_type}, text_hash bigint, packed binary")
     sets = packed.join(source, (packed["text_hash"] == source["text_hash"]) & packed["doc_id"].eqNullSafe(source["of_id"]))
-    sets = stored(sets.select("node", "packed").dropDuplicates(["node"]), "jaccard-sets")
+    sets = settled(sets.select("node", "packed").dropDuplicates(["node"]), "jaccard-sets")
 
     roots = _roots(entries)
     pairs = _sized(roots.filter("node != root"), nodes, NEAR_PERCENT)
     own = _compared(pairs, sets, words_each, percent, NEAR_PERCENT).filter(F.col("differs").isNotNull())
-    own = stored(own, "jaccard-own")
+    own = settled(own, "jaccard-own")
     near = own.select("node", F.lit(True).alias("near"))
     roots = roots.join(near, "node", "left").select("node", F.when(F.col("near"), F.col("root")).otherwise(F.col("node")).alias("root"))
-    roots = stored(roots, "jaccard-roots")
+    roots = settled(roots, "jaccard-roots")
     # Variants that led groups of their own gather around one root, else every set would visit every such group.
     pairs = _sized(_larger(entries, roots), nodes, NEAR_PERCENT)
     others = _compared(pairs, sets, words_each, percent, NEAR_PERCENT).filter(F.col("differs").isNotNull())
@@ -486,7 +490,7 @@ def _classes(
     pairs = _sized(_guests(entries, roots, percent), nodes, near_guests)
     guests = _compared(pairs, sets, words_each, percent, near_guests)
     around = own.unionByName(guests.filter(F.col("differs").isNotNull()))
-    around = stored(around, "jaccard-around")
+    around = settled(around, "jaccard-around")
     found = connected_components(_derived(around, percent))
 
     labels = nodes.join(found, "node")
@@ -495,7 +499,7 @@ def _classes(
     classed = described.filter("n > 0").join(labels, ["c1", "c2"], "left").select(
         "doc_id", "text_hash", "n", F.coalesce("h1", "c1").alias("h1"), F.coalesce("h2", "c2").alias("h2")
     )
-    return stored(classed, "jaccard-classes"), described.filter("n = 0")
+    return settled(classed, "jaccard-classes"), described.filter("n = 0")
 
 
 def similarity_classes(
@@ -542,7 +546,7 @@ def representatives(
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "rows")).alias("first")
     chosen = rows.groupBy("h1", "h2").agg(first).select("first.doc_id", "first.text_hash", "first.rows")
     chosen = chosen.unionByName(bare.select("doc_id", "text_hash", F.lit(1).cast("bigint").alias("rows")).distinct())
-    chosen = stored(chosen, "jaccard-kept").toDF("__id", "__hash", "__rows")
+    chosen = settled(chosen, "jaccard-kept").toDF("__id", "__hash", "__rows")
     keyed = documents.withColumn("__text_hash", F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))))
     kept = keyed.join(chosen, (F.col("__text_hash") == F.col("__hash")) & F.col(id_column).eqNullSafe(F.col("__id")))
     single = kept.filter("__rows = 1").select(*columns)

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import WORD, stored
+from gridmart.llm.common import WORD, settled
 
 REPEATS = 3
 WEIGHTS = (1, 2, 3)
@@ -110,10 +110,10 @@ def mixed_copies(
         "doc_id", "source", "size", "row_key", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("number")
     )
     place = F.substring(F.md5(F.concat_ws("|", "row_key", F.col("number").cast("string")).cast("binary")), 1, KEY_DIGITS)
-    numbered = stored(numbered.withColumn("place", place), "mix-rows")
+    numbered = settled(numbered.withColumn("place", place), "mix-rows")
 
     totals = numbered.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
-    targets = stored(source_targets(totals, weights, repeats), "mix-targets")
+    targets = settled(source_targets(totals, weights, repeats), "mix-targets")
     n_rows = numbered.count()
     digits = 1
     while 16**digits * CELL_ROWS < n_rows:
@@ -180,7 +180,7 @@ def mixed_documents(
     plan = plan.groupBy(F.col("row_key").alias("__mix_plan_key"), F.col("source").alias("__mix_source")).agg(
         F.count("*").alias("__mix_rows"), F.sum("copies").alias("__mix_copies")
     )
-    plan = stored(plan.filter(F.col("__mix_copies") > 0), "mix-plan")
+    plan = settled(plan.filter(F.col("__mix_copies") > 0), "mix-plan")
     keyed = documents.withColumn("__mix_key", row_key(F.col(id_column), F.col(text_column)))
     same = (F.col("__mix_key") == F.col("__mix_plan_key")) & F.col(source_column).eqNullSafe(F.col("__mix_source"))
     chosen = keyed.join(plan, same).drop("__mix_plan_key", "__mix_source")

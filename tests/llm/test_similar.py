@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
+from functools import partial
 from types import SimpleNamespace
 
 import numpy as np
@@ -248,3 +250,18 @@ def test_texts_are_compressed_before_they_are_shuffled_and_shared_tokens_need_no
     assert found(classes) == brute(rows, 3, 90)
     assert "Join" not in plans["jaccard-outliers"]
     assert 0 <= plans["jaccard-sets"].find("Join") < plans["jaccard-sets"].find("MapInArrow")
+
+
+def test_the_driver_holds_the_sketch_in_two_bytes_a_count(edge):
+    texts = edge.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    schema = "doc_id bigint, text_hash bigint, n int, c1 bigint, c2 bigint, part int, counts binary"
+    described = jaccard.map_batches(texts, partial(jaccard._describe, words_each=3), schema).cache()
+    described.count()
+    tracemalloc.start()
+    sketch = jaccard._sketch(described)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sketch.nbytes == 2 << jaccard.SKETCH_BITS and peak < 2 * sketch.nbytes
+    tokens = np.concatenate([jaccard.shingle_set(r[1], 3) for r in edge_rows()]) >> np.uint64(64 - jaccard.SKETCH_BITS)
+    counts = np.bincount(tokens.astype(np.int64), minlength=len(sketch))
+    assert (sketch == np.minimum(np.log1p(counts) * jaccard.LOG_STEPS, 65535).astype(np.uint16)).all()
